@@ -2,7 +2,8 @@
 
 Both are decided on the key columns alone. The result is a small table of exceptional
 keys that is then looked up from the full rows, so the full rows are not shuffled by
-key as long as exceptions are few.
+key as long as exceptions are few. `total` is the number of full rows, against which a
+key counts as hot.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from sluice.operators.skew import lookup, mark_hot
 from sluice.sources.staging import Staging
 
 
-def orphan_keys(rows: DataFrame, fk: str, parent_keys: DataFrame, all_rows: DataFrame) -> DataFrame:
+def orphan_keys(rows: DataFrame, fk: str, parent_keys: DataFrame, total: int) -> DataFrame:
     """Foreign keys without a parent, plus all hot keys: (fk, n_rows, orphan, hot).
 
     Counting per key leaves one row per key on both sides of the join, so that no key
@@ -26,7 +27,7 @@ def orphan_keys(rows: DataFrame, fk: str, parent_keys: DataFrame, all_rows: Data
     checked = counts.join(parent, counts[fk] == parent["_parent"], "left").select(
         fk, "n_rows", F.col("_parent").isNull().alias("orphan")
     )
-    return mark_hot(checked, all_rows).where(F.col("orphan") | F.col("hot"))
+    return mark_hot(checked, total).where(F.col("orphan") | F.col("hot"))
 
 
 def flag_orphans(
@@ -92,13 +93,13 @@ def repeated_keys(
     rows: DataFrame,
     key: str,
     row_order: str,
-    all_rows: DataFrame,
+    total: int,
     order_by: str | None = None,
     descending: bool = True,
 ) -> DataFrame:
     """Keys on more than one row: (key, n_rows, winner, hot)."""
     winners = _winners(rows, key, row_order, order_by, descending)
-    return mark_hot(winners.where("n_rows > 1"), all_rows)
+    return mark_hot(winners.where("n_rows > 1"), total)
 
 
 def flag_duplicates(
@@ -128,19 +129,19 @@ def flag_duplicates(
 
 
 def staged_orphans(
-    rows: DataFrame, fk: str, parent_keys: DataFrame, all_rows: DataFrame, staging: Staging
+    rows: DataFrame, fk: str, parent_keys: DataFrame, total: int, staging: Staging
 ) -> DataFrame:
-    return staging.pin(orphan_keys(rows, fk, parent_keys, all_rows), f"orphans-{fk}")
+    return staging.pin(orphan_keys(rows, fk, parent_keys, total), f"orphans-{fk}")
 
 
 def staged_repeats(
     rows: DataFrame,
     key: str,
     row_order: str,
-    all_rows: DataFrame,
+    total: int,
     staging: Staging,
     order_by: str | None = None,
     descending: bool = True,
 ) -> DataFrame:
-    repeats = repeated_keys(rows, key, row_order, all_rows, order_by, descending)
+    repeats = repeated_keys(rows, key, row_order, total, order_by, descending)
     return staging.pin(repeats, f"repeats-{key}")

@@ -15,20 +15,15 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1000
 
 
-def mark_hot(key_counts: DataFrame, all_rows: DataFrame) -> DataFrame:
-    """Add `hot` to a table of (key, n_rows, ...), given all rows the counts are part of."""
-    total = all_rows.agg(F.count(F.lit(1)).alias("_total"))  # always a single row
-    return (
-        key_counts.crossJoin(F.broadcast(total))
-        .withColumn("hot", F.col("n_rows") * HOT_SHARE >= F.col("_total"))
-        .drop("_total")
-    )
+def mark_hot(key_counts: DataFrame, total: int) -> DataFrame:
+    """Add `hot` to a table of (key, n_rows, ...) counted over (part of) `total` rows."""
+    return key_counts.withColumn("hot", F.col("n_rows") * HOT_SHARE >= total)
 
 
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:
     """The hot values of `key`; counting combines on the map side first."""
     counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    return mark_hot(counts, rows).where("hot").select(key)
+    return mark_hot(counts, rows.count()).where("hot").select(key)
 
 
 def lookup(

@@ -53,7 +53,7 @@ def split_orphans(
         orphan = F.col(fk).isNotNull() & ~known
         return df.where(~orphan), df.where(orphan)
     staging = staging or Staging(df.sparkSession)
-    verdicts = staged_orphans(df.select(fk), fk, valid_keys, df, staging)
+    verdicts = staged_orphans(df.select(fk), fk, valid_keys, df.count(), staging)
     flagged = flag_orphans(df, fk, verdicts, "_orphan", spread_by=df.columns)
     return flagged.where("NOT _orphan").drop("_orphan"), flagged.where("_orphan").drop("_orphan")
 
@@ -81,7 +81,7 @@ def deduplicate_by_key(
     numbered = df if row_order in df.columns else with_row_order(df, staging)
     order = row_order if row_order in df.columns else ROW_ORDER
     narrow = numbered.select(*dict.fromkeys(n for n in (key, order_by, order) if n))
-    verdicts = staged_repeats(narrow, key, order, numbered, staging, order_by, descending)
+    verdicts = staged_repeats(narrow, key, order, numbered.count(), staging, order_by, descending)
     flagged = flag_duplicates(numbered, key, verdicts, order, "_duplicate")
     return (
         flagged.where("NOT _duplicate").select(*df.columns),

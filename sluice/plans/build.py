@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import argparse
 import logging
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import SparkSession
@@ -15,7 +13,7 @@ from sluice.plans.bronze import build_bronze
 from sluice.plans.gold import build_gold
 from sluice.plans.silver import build_silver
 from sluice.session import build_session
-from sluice.sources.staging import Staging
+from sluice.sources.staging import Staging, together
 from sluice.sources.warehouse import publish
 
 log = logging.getLogger("sluice")
@@ -24,22 +22,16 @@ log = logging.getLogger("sluice")
 SILVER_WAVES = (("customers", "products"), ("orders",), ("order_items", "payments", "reviews"))
 
 
-def _together(task: Callable[[str], object], names: tuple[str, ...]) -> None:
-    """Run one Spark job per name from threads; the first error is raised."""
-    with ThreadPoolExecutor(len(names)) as pool:
-        list(pool.map(task, names))
-
-
 def build_all_silver(spark: SparkSession, root: str, staging: Staging, executed_at: datetime) -> None:
     for wave in SILVER_WAVES:
-        _together(lambda name: build_silver(spark, root, name, staging, executed_at), wave)
+        together(lambda name: build_silver(spark, root, name, staging, executed_at), wave)
         log.info("silver done: %s", ", ".join(wave))
 
 
 def run(spark: SparkSession, root: str, now: datetime | None = None, prefix: str = "") -> None:
     """Build every layer under `root` from `<root>/raw/<table>.csv` and publish it."""
     now = now or datetime.now()
-    _together(lambda name: build_bronze(spark, root, name, now), TABLES)
+    together(lambda name: build_bronze(spark, root, name, now), TABLES)
     log.info("bronze done: %d tables", len(TABLES))
     with Staging(spark) as staging:
         build_all_silver(spark, root, staging, now)

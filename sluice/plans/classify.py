@@ -19,8 +19,18 @@ from sluice.config import ROW_ORDER
 from sluice.functions import cleaning as c
 from sluice.operators.keys import flag_duplicates, flag_orphans, staged_orphans, staged_repeats
 from sluice.operators.quality import Check, measure
-from sluice.plans.specs import DATETIME, FLOAT, INTEGER, Column, Missing, OutOfRange, Rule, TableSpec
-from sluice.sources.staging import Staging
+from sluice.plans.specs import (
+    DATETIME,
+    FLOAT,
+    INTEGER,
+    Column,
+    Missing,
+    Orphan,
+    OutOfRange,
+    Rule,
+    TableSpec,
+)
+from sluice.sources.staging import Staging, together
 
 REASON = "_reason"
 
@@ -96,25 +106,41 @@ def _broken(rule: Rule) -> SparkColumn:
     return F.col(_orphan(rule.column))
 
 
+@dataclass(frozen=True)
+class Judged:
+    """Normalized rows with the first rule each one breaks, before deduplication."""
+
+    spec: TableSpec
+    rows: DataFrame
+    columns: list[str]
+    total: int
+
+    def keys(self) -> DataFrame:
+        """The keys Silver will have: deduplication keeps one row of every key."""
+        return self.rows.where(F.col(REASON).isNull()).select(self.spec.key).distinct()
+
+
 def apply_rules(
     bronze: DataFrame, spec: TableSpec, parent_keys: dict[str, DataFrame], staging: Staging
-) -> DataFrame:
-    """Normalized rows with the first rule each one breaks, before deduplication."""
+) -> Judged:
+    """Clean every row of a Bronze table and find the first rule it breaks.
+
+    `bronze` must carry the unique `_ord` column that Bronze ingestion adds.
+    `parent_keys` has a one-column frame of valid keys for each parent table.
+    """
     rows = normalize(bronze, spec)
-    for rule in spec.orphan_rules:
-        keys = parent_keys[rule.parent]
-        verdicts = staged_orphans(rows.select(rule.column), rule.column, keys, bronze, staging)
-        rows = flag_orphans(rows, rule.column, verdicts, _orphan(rule.column), [ROW_ORDER])
-    reason = F.coalesce(*(F.when(_broken(rule), F.lit(rule.reason)) for rule in spec.rules))
-    return rows.withColumn(REASON, reason)
+    total = bronze.count()
 
+    def verdicts(rule: Orphan) -> DataFrame:
+        keys = parent_keys[rule.parent]
+        return staged_orphans(rows.select(rule.column), rule.column, keys, total, staging)
 
-def surviving_keys(
-    bronze: DataFrame, spec: TableSpec, parent_keys: dict[str, DataFrame], staging: Staging
-) -> DataFrame:
-    """The keys Silver will have. Deduplication keeps one row per key, so it is left out."""
-    rows = apply_rules(bronze, spec, parent_keys, staging)
-    return rows.where(F.col(REASON).isNull()).select(spec.key).distinct()
+    judged = rows
+    for rule, found in zip(spec.orphan_rules, together(verdicts, spec.orphan_rules)):
+        judged = flag_orphans(judged, rule.column, found, _orphan(rule.column), [ROW_ORDER])
+    reason = F.coalesce(*(F.when(_broken(rule), F.lit(rule.reason)) for rule in spec.rules))
+    columns = [name for name in bronze.columns if name != ROW_ORDER]
+    return Judged(spec, judged.withColumn(REASON, reason), columns, total)
 
 
 @dataclass(frozen=True)
@@ -192,27 +218,26 @@ class Classified:
         return measure(self.rows, self.checks(), executed_at)
 
 
-def classify(
-    bronze: DataFrame, spec: TableSpec, parent_keys: dict[str, DataFrame], staging: Staging
-) -> Classified:
-    """Decide every row of a Bronze table.
-
-    `bronze` must carry the unique `_ord` column that Bronze ingestion adds.
-    `parent_keys` has a one-column frame of valid keys for each parent table.
-    """
-    rows = apply_rules(bronze, spec, parent_keys, staging)
+def drop_repeats(judged: Judged, staging: Staging) -> Classified:
+    """Add the last rule: of the surviving rows of a key, all but one are duplicates."""
+    spec, rows = judged.spec, judged.rows
     survives = F.col(REASON).isNull()
     narrow = [name for name in (spec.key, spec.latest_by, ROW_ORDER) if name]
     repeats = staged_repeats(
         rows.where(survives).select(*narrow),
         spec.key,
         ROW_ORDER,
-        bronze,
+        judged.total,
         staging,
         order_by=spec.latest_by,
     )
     rows = flag_duplicates(rows, spec.key, repeats, ROW_ORDER, "_duplicate", active=survives)
     fate = F.when(F.col("_duplicate"), F.lit(spec.duplicate_reason)).otherwise(F.col(REASON))
-    rows = rows.withColumn(REASON, fate)
-    columns = [name for name in bronze.columns if name != ROW_ORDER]
-    return Classified(spec, rows, columns)
+    return Classified(spec, rows.withColumn(REASON, fate), judged.columns)
+
+
+def classify(
+    bronze: DataFrame, spec: TableSpec, parent_keys: dict[str, DataFrame], staging: Staging
+) -> Classified:
+    """Decide every row of a Bronze table; see `apply_rules` for the arguments."""
+    return drop_repeats(apply_rules(bronze, spec, parent_keys, staging), staging)

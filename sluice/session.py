@@ -19,6 +19,7 @@ SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -9,13 +9,18 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import count
+from typing import TypeVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.sources.store import delete, make_temporary
 
+Item, Result = TypeVar("Item"), TypeVar("Result")
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -62,3 +67,11 @@ class Staging:
 
     def __exit__(self, *_: object) -> None:
         self.drop()
+
+
+def together(job: Callable[[Item], Result], items: Sequence[Item]) -> list[Result]:
+    """Run independent Spark jobs side by side, so that they share the executors."""
+    if len(items) < 2:
+        return [job(item) for item in items]
+    with ThreadPoolExecutor(len(items)) as pool:
+        return list(pool.map(job, items))
