@@ -64,42 +64,55 @@ def _reversed(value: Column, dtype: T.DataType) -> Column | None:
 def _winners(
     rows: DataFrame, key: str, row_order: str, order_by: str | None, descending: bool
 ) -> DataFrame:
-    """(key, n_rows, winner): the row order of the row to keep for each key.
+    """(key, winner): the row order of the row to keep for each key.
 
     An aggregate rather than a ranking window: a key with very many rows shrinks to one
     row per task before it is shuffled.
     """
-    n_rows = F.count(F.lit(1)).alias("n_rows")
     if order_by is None:
-        return rows.groupBy(key).agg(n_rows, F.min(row_order).alias("winner"))
+        return rows.groupBy(key).agg(F.min(row_order).alias("winner"))
     value = F.col(order_by)
     rank = _reversed(value, rows.schema[order_by].dataType) if descending else value
     if rank is not None:
         best = F.min(
             F.struct(value.isNull().alias("missing"), rank.alias("rank"), F.col(row_order).alias("at"))
         )
-        return rows.groupBy(key).agg(n_rows, best["at"].alias("winner"))
+        return rows.groupBy(key).agg(best["at"].alias("winner"))
     # Types without a reverse, such as text: the greatest value, then its first row.
-    greatest = rows.groupBy(F.col(key).alias("_k")).agg(n_rows, F.max(order_by).alias("_best"))
+    greatest = rows.groupBy(F.col(key).alias("_k")).agg(F.max(order_by).alias("_best"))
     ties = rows.join(
         greatest, F.col(key).eqNullSafe(F.col("_k")) & value.eqNullSafe(F.col("_best"))
     )
-    return ties.groupBy(key).agg(
-        F.first("n_rows").alias("n_rows"), F.min(row_order).alias("winner")
-    )
+    return ties.groupBy(key).agg(F.min(row_order).alias("winner"))
+
+
+def repeat_counts(rows: DataFrame, key: str, total: int) -> DataFrame:
+    """Keys on more than one row: (key, n_rows, hot)."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
+    return mark_hot(counts, total)
 
 
-def repeated_keys(
+def repeat_winners(
     rows: DataFrame,
     key: str,
+    repeats: DataFrame,
     row_order: str,
-    total: int,
     order_by: str | None = None,
     descending: bool = True,
 ) -> DataFrame:
-    """Keys on more than one row: (key, n_rows, winner, hot)."""
-    winners = _winners(rows, key, row_order, order_by, descending)
-    return mark_hot(winners.where("n_rows > 1"), total)
+    """The winner of each repeated key: (key, hot, winner)."""
+    found = lookup(
+        rows,
+        key,
+        hot=repeats.where("hot"),
+        cold=repeats.where("NOT hot"),
+        values=["hot"],
+        spread_by=[row_order],
+        null_safe=True,
+    ).where("_found")
+    winners = _winners(found, key, row_order, order_by, descending)
+    hot = repeats.select(F.col(key).alias("_k"), "hot")
+    return winners.join(hot, F.col(key).eqNullSafe(F.col("_k"))).select(key, "hot", "winner")
 
 
 def flag_duplicates(
@@ -143,5 +156,11 @@ def staged_repeats(
     order_by: str | None = None,
     descending: bool = True,
 ) -> DataFrame:
-    repeats = repeated_keys(rows, key, row_order, total, order_by, descending)
-    return staging.pin(repeats, f"repeats-{key}")
+    """Find repeated keys, then which of their rows to keep.
+
+    In two steps because most keys are on one row: the first shuffles nothing but keys
+    and counts, and only rows of repeated keys bring their order and position along.
+    """
+    repeats = staging.pin(repeat_counts(rows, key, total), f"repeats-{key}")
+    winners = repeat_winners(rows, key, repeats, row_order, order_by, descending)
+    return staging.pin(winners, f"winners-{key}")

@@ -68,34 +68,41 @@ def _typed(column: Column) -> SparkColumn:
     return {"lower": F.lower, "upper": F.upper, None: lambda t: t}[column.case](text)
 
 
-def _clean(column: Column) -> SparkColumn:
-    value = _typed(column)
+def _checked(column: Column) -> list[SparkColumn]:
+    """From a typed column: its final value, then the flags and audit value it gives rise to."""
+    name, value = column.name, F.col(column.name)
+    flags = []
+    if column.kind in (INTEGER, FLOAT):
+        flags.append((~F.col(_absent(name)) & value.isNull()).alias(_lost(name)))
     if column.bounded:
-        value = F.when(~c.outside_range(value, column.low, column.high), value)
+        outside = c.outside_range(value, column.low, column.high)
+        flags.append(outside.alias(_outside(name)))
+        value = F.when(~outside, value)
     if column.accepted:
-        value = F.when(~c.not_in_set(value, column.accepted), value)
-    return value
+        unknown = c.not_in_set(value, column.accepted)
+        flags.append(F.when(unknown, value).alias(_audit(name)))
+        value = F.when(~unknown, value)
+    return [value.alias(name), *flags]
 
 
 def normalize(bronze: DataFrame, spec: TableSpec) -> DataFrame:
-    """Cleaned columns, the flags to count, and the values kept for audit."""
+    """Cleaned columns, the flags to count, and the values kept for audit.
+
+    Two projections: every value is parsed once in the first and used in the second.
+    """
     rules = {column.name: column for column in spec.columns}
-    output = [
-        _clean(rules[name]).alias(name) if name in rules else F.col(name)
-        for name in bronze.columns
-    ]
-    output += [F.col(name).isNull().alias(_absent(name)) for name in spec.descriptive]
-    for column in spec.columns:
-        value = _typed(column)
-        if column.kind in (INTEGER, FLOAT):
-            output.append(c.cast_failed(F.col(column.name), value).alias(_lost(column.name)))
-        if column.bounded:
-            outside = c.outside_range(value, column.low, column.high)
-            output.append(outside.alias(_outside(column.name)))
-        if column.accepted:
-            unknown = c.not_in_set(value, column.accepted)
-            output.append(F.when(unknown, value).alias(_audit(column.name)))
-    return bronze.select(*output)
+    counted = [n for n in spec.column_names if n in spec.descriptive or rules[n].kind in (INTEGER, FLOAT)]
+    typed = bronze.select(
+        *(
+            _typed(rules[name]).alias(name) if name in rules else F.col(name)
+            for name in bronze.columns
+        ),
+        *(F.col(name).isNull().alias(_absent(name)) for name in counted),
+    )
+    output = []
+    for name in bronze.columns:
+        output += _checked(rules[name]) if name in rules else [F.col(name)]
+    return typed.select(*output, *(_absent(name) for name in counted))
 
 
 def _broken(rule: Rule) -> SparkColumn:

@@ -24,7 +24,7 @@ from sluice.plans.specs import (
     REVIEWS,
     SPECS,
 )
-from sluice.sources.staging import Staging
+from sluice.sources.staging import Staging, together
 from sluice.sources.store import read_keys, read_table, replace
 
 
@@ -125,11 +125,16 @@ def build_silver(
 
     pending = {layer: _pending(root, layer, name) for layer in (SILVER, QUARANTINE, QUALITY)}
     counts = _write_silver(classified, pending[SILVER])
-    _gate(classified, spark.read.schema(silver.schema).parquet(pending[SILVER]), counts)
-
+    written = spark.read.schema(silver.schema).parquet(pending[SILVER])
     # Few rows scattered over many tasks: gather them into files of a sensible size.
-    classified.quarantine().hint("rebalance").write.mode("overwrite").parquet(pending[QUARANTINE])
-
+    rejected = classified.quarantine().hint("rebalance")
+    together(
+        lambda job: job(),
+        [
+            lambda: _gate(classified, written, counts),
+            lambda: rejected.write.mode("overwrite").parquet(pending[QUARANTINE]),
+        ],
+    )
     checks = classified.checks()
     names = ["checked", *(f"failed_{i}" for i in range(len(checks)))]
     schema = ", ".join(f"{n} bigint" for n in names)

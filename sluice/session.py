@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # Recording the Python call site of every expression costs more than planning it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

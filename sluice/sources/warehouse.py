@@ -17,6 +17,7 @@ from sluice.config import (
     TABLES,
     table_path,
 )
+from sluice.sources.staging import together
 from sluice.sources.store import load_quality, write_parquet
 
 SCHEMAS = (SILVER, QUARANTINE, GOLD, QUALITY)
@@ -45,7 +46,7 @@ def publish(spark: SparkSession, root: str, prefix: str = "") -> dict[str, DataF
     `prefix` goes in front of the schema names. Returns the tables by qualified name.
     """
     write_parquet(load_quality(spark, root).coalesce(1), table_path(root, "warehouse", CHECKS))
-    published = {}
+    paths = {}
     for schema, tables in manifest(root).items():
         schema = f"{prefix}{schema}"
         spark.sql(
@@ -54,10 +55,9 @@ def publish(spark: SparkSession, root: str, prefix: str = "") -> dict[str, DataF
         for stale in spark.catalog.listTables(schema):
             if stale.name not in tables and not stale.isTemporary:
                 spark.sql(f"DROP TABLE IF EXISTS {schema}.{stale.name}")
-        for name, path in tables.items():
-            create_or_replace_table(spark, f"{schema}.{name}", path)
-            published[f"{schema}.{name}"] = spark.table(f"{schema}.{name}")
-    return published
+        paths |= {f"{schema}.{name}": path for name, path in tables.items()}
+    together(lambda table: create_or_replace_table(spark, table, paths[table]), list(paths))
+    return {table: spark.table(table) for table in paths}
 
 
 def unpublish(spark: SparkSession, prefix: str = "") -> None:
