@@ -8,10 +8,12 @@ bytes come from Spark's status tracker when the tables are built.
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from collections.abc import Callable
 from datetime import datetime
@@ -35,18 +37,49 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 NOW = datetime(2024, 1, 1)
 
 
-def median_seconds(job: Callable[[], object]) -> float:
+windows: dict[str, tuple[float, float]] = {}
+
+
+def median_seconds(name: str, job: Callable[[], object]) -> float:
     times = []
     for _ in range(RUNS + 1):  # the first run warms up
-        start = time.perf_counter()
+        start, clock = time.perf_counter(), time.time()
         job()
         times.append(time.perf_counter() - start)
+        windows[name] = (clock * 1000, time.time() * 1000)
     return round(statistics.median(times[1:]), 3)
 
 
+def work_done(log_dir: str) -> dict[str, dict[str, float]]:
+    """Jobs and shuffled megabytes by name, from the events within its last run."""
+    jobs, shuffled = [], []
+    for path in glob.glob(f"{log_dir}/**/*", recursive=True):
+        if os.path.isdir(path) or os.path.basename(path).startswith("appstatus"):
+            continue
+        with open(path) as file:
+            for line in file:
+                event = json.loads(line)
+                if event["Event"] == "SparkListenerJobStart":
+                    jobs.append(event["Submission Time"])
+                elif event["Event"] == "SparkListenerTaskEnd" and event.get("Task Metrics"):
+                    written = event["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Bytes Written"]
+                    shuffled.append((event["Task Info"]["Finish Time"], written))
+    return {
+        name: {
+            "jobs": sum(start <= at <= end for at in jobs),
+            "shuffle_mb": round(sum(n for at, n in shuffled if start <= at <= end) / 2**20, 2),
+        }
+        for name, (start, end) in windows.items()
+    }
+
+
 def main() -> None:
+    log_dir = tempfile.mkdtemp(prefix="sluice-bench-")
     spark = build_session(
         "sluice-bench",
+        spark__eventLog__enabled="true",
+        spark__eventLog__dir=f"file://{log_dir}",
+        spark__eventLog__compress="false",
         master=f"local[{CPUS}]",
         spark__driver__memory="16g",
         spark__sql__shuffle__partitions=CPUS,
@@ -60,7 +93,7 @@ def main() -> None:
             write_parquet(bronze, table_path(root, BRONZE, name))
         for name in TABLES:
             results[f"silver_{name}"] = median_seconds(
-                lambda name=name: build_silver(spark, root, name, staging, NOW)
+                f"silver_{name}", lambda name=name: build_silver(spark, root, name, staging, NOW)
             )
         s = load_silver(spark, root)
         orders, items = s["orders"], s["order_items"]
@@ -76,14 +109,17 @@ def main() -> None:
         }
         for name, build in builders.items():
             path = table_path(root, GOLD, name)
-            results[name] = median_seconds(lambda build=build, path=path: write_parquet(build(), path))
+            results[name] = median_seconds(name, lambda build=build, path=path: write_parquet(build(), path))
 
         tables = Tables(spark, SF_DIR)
         csv_root = staging.new_path("root")
         for name in TABLES:
             write_raw_csv(tables, csv_root, name)
-        results["full_build"] = median_seconds(lambda: run(spark, csv_root, NOW, "sluice_bench_"))
+        results["full_build"] = median_seconds(
+            "full_build", lambda: run(spark, csv_root, NOW, "sluice_bench_")
+        )
         unpublish(spark, "sluice_bench_")
+    spark.stop()  # closes the event log
     print(
         json.dumps(
             {
@@ -93,10 +129,10 @@ def main() -> None:
                 "queries": results,
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
                 "cpus": int(CPUS),
+                "work": work_done(log_dir),
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":

@@ -38,8 +38,7 @@ def flag_orphans(
     found = lookup(
         rows,
         fk,
-        hot=verdicts.where("hot"),
-        cold=verdicts.where("NOT hot"),
+        verdicts,
         values=["orphan"],
         spread_by=spread_by,
     )
@@ -61,37 +60,18 @@ def _reversed(value: Column, dtype: T.DataType) -> Column | None:
     return None
 
 
-def _winners(
-    rows: DataFrame, key: str, row_order: str, order_by: str | None, descending: bool
-) -> DataFrame:
-    """(key, winner): the row order of the row to keep for each key.
-
-    An aggregate rather than a ranking window: a key with very many rows shrinks to one
-    row per task before it is shuffled.
-    """
-    if order_by is None:
-        return rows.groupBy(key).agg(F.min(row_order).alias("winner"))
-    value = F.col(order_by)
-    rank = _reversed(value, rows.schema[order_by].dataType) if descending else value
-    if rank is not None:
-        best = F.min(
-            F.struct(value.isNull().alias("missing"), rank.alias("rank"), F.col(row_order).alias("at"))
-        )
-        return rows.groupBy(key).agg(best["at"].alias("winner"))
-    # Types without a reverse, such as text: the greatest value, then its first row.
-    greatest = rows.groupBy(F.col(key).alias("_k")).agg(F.max(order_by).alias("_best"))
-    ties = rows.join(
-        greatest, F.col(key).eqNullSafe(F.col("_k")) & value.eqNullSafe(F.col("_best"))
-    )
-    return ties.groupBy(key).agg(F.min(row_order).alias("winner"))
-
-
 def repeat_counts(rows: DataFrame, key: str, total: int) -> DataFrame:
     """Keys on more than one row: (key, n_rows, hot)."""
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
     return mark_hot(counts, total)
 
 
+def _matching(rows: DataFrame, key: str, table: DataFrame, value: str, row_order: str) -> DataFrame:
+    """Rows whose key (null included) is in `table`, with its `value`."""
+    found = lookup(rows, key, table, values=[value], spread_by=[row_order], null_safe=True)
+    return found.where("_found").drop("_found")
+
+
 def repeat_winners(
     rows: DataFrame,
     key: str,
@@ -100,19 +80,28 @@ def repeat_winners(
     order_by: str | None = None,
     descending: bool = True,
 ) -> DataFrame:
-    """The winner of each repeated key: (key, hot, winner)."""
-    found = lookup(
-        rows,
-        key,
-        hot=repeats.where("hot"),
-        cold=repeats.where("NOT hot"),
-        values=["hot"],
-        spread_by=[row_order],
-        null_safe=True,
-    ).where("_found")
-    winners = _winners(found, key, row_order, order_by, descending)
-    hot = repeats.select(F.col(key).alias("_k"), "hot")
-    return winners.join(hot, F.col(key).eqNullSafe(F.col("_k"))).select(key, "hot", "winner")
+    """The row order of the row to keep of each repeated key: (key, hot, winner).
+
+    Aggregates rather than a ranking window: a key with very many rows shrinks to one
+    row per task before it is shuffled.
+    """
+    found = _matching(rows, key, repeats, "hot", row_order)
+    hot = F.max("hot").alias("hot")
+    if order_by is None:
+        return found.groupBy(key).agg(hot, F.min(row_order).alias("winner"))
+
+    value = F.col(order_by)
+    rank = _reversed(value, rows.schema[order_by].dataType) if descending else value
+    if rank is None:
+        # Types without a reverse, such as text: keep only rows with the greatest value.
+        greatest = found.groupBy(key).agg(hot, F.max(order_by).alias("_best"))
+        ties = _matching(found, key, greatest, "_best", row_order)
+        found = ties.where(value.eqNullSafe(F.col("_best"))).drop("_best")
+        rank = F.lit(0)
+    best = F.min(
+        F.struct(value.isNull().alias("missing"), rank.alias("rank"), F.col(row_order).alias("at"))
+    )
+    return found.groupBy(key).agg(hot, best["at"].alias("winner"))
 
 
 def flag_duplicates(
@@ -128,8 +117,7 @@ def flag_duplicates(
     found = lookup(
         rows,
         key,
-        hot=verdicts.where("hot"),
-        cold=verdicts.where("NOT hot"),
+        verdicts,
         values=["winner"],
         spread_by=[row_order],
         active=active,

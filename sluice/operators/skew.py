@@ -26,7 +26,43 @@ def hot_keys(rows: DataFrame, key: str) -> DataFrame:
     return mark_hot(counts, rows.count()).where("hot").select(key)
 
 
+def _fits_broadcast(table: DataFrame) -> bool:
+    """Whether the optimizer will broadcast a stored table because of its size."""
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size <= limit
+
+
 def lookup(
+    rows: DataFrame,
+    key: str,
+    table: DataFrame,
+    values: list[str],
+    spread_by: list[str],
+    active: Column | None = None,
+    null_safe: bool = False,
+) -> DataFrame:
+    """Left-join `rows` to a stored table (key, hot, *values), adding `values` and `_found`.
+
+    The table has one row per key. A small one is joined as it is, which shuffles
+    nothing; otherwise see `split_lookup`. What is added to rows that are not `active`
+    is undefined.
+    """
+    if not _fits_broadcast(table):
+        hot, cold = table.where("hot"), table.where("NOT hot")
+        return split_lookup(rows, key, hot, cold, values, spread_by, active, null_safe)
+    side = table.select(
+        F.col(key).alias("_key"), *(F.col(v).alias(f"_at_{v}") for v in values), F.lit(True).alias("_hit")
+    )
+    same = F.col(key).eqNullSafe(F.col("_key")) if null_safe else F.col(key) == F.col("_key")
+    return rows.join(side, same, "left").select(
+        *rows.columns,
+        *(F.col(f"_at_{v}").alias(v) for v in values),
+        F.coalesce("_hit", F.lit(False)).alias("_found"),
+    )
+
+
+def split_lookup(
     rows: DataFrame,
     key: str,
     hot: DataFrame,
@@ -36,15 +72,14 @@ def lookup(
     active: Column | None = None,
     null_safe: bool = False,
 ) -> DataFrame:
-    """Left-join `rows` to a table with one row per key, adding `values` and `_found`.
-
-    The table comes in two parts. `hot` has its rows for hot keys (at most HOT_SHARE)
-    and is broadcast. `cold` has the others; the optimizer broadcasts it when its
-    measured size is small and shuffles both sides otherwise. `spread_by` names columns
-    that tell rows apart: rows that are already resolved, inactive or without a key get
-    a spread number from them, so that the shuffle scatters those rows. The number is a
-    hash of the row and of its input partition. So it scatters exact copies too, and it
-    is the same when a lost task runs again.
+    """The lookup for a table of any size, given in two parts.
+
+    `hot` has its rows for hot keys (at most HOT_SHARE) and is broadcast. For `cold`,
+    the others, both sides are shuffled by key. `spread_by` names columns that tell rows
+    apart: rows that are already resolved, inactive or without a key get a spread number
+    from them, so that the shuffle scatters those rows. The number is a hash of the row
+    and of its input partition. So it scatters exact copies too, and it is the same when
+    a lost task runs again.
     """
     names = rows.columns
     hot_side = F.broadcast(

@@ -25,7 +25,7 @@ from sluice.plans.specs import (
     SPECS,
 )
 from sluice.sources.staging import Staging, together
-from sluice.sources.store import read_keys, read_table, replace
+from sluice.sources.store import read_keys, read_parquet, read_table, replace
 
 
 def clean_customers(bronze: DataFrame, staging: Staging | None = None) -> Classified:
@@ -125,7 +125,7 @@ def build_silver(
 
     pending = {layer: _pending(root, layer, name) for layer in (SILVER, QUARANTINE, QUALITY)}
     counts = _write_silver(classified, pending[SILVER])
-    written = spark.read.schema(silver.schema).parquet(pending[SILVER])
+    written = read_parquet(spark, pending[SILVER], silver.schema)
     # Few rows scattered over many tasks: gather them into files of a sensible size.
     rejected = classified.quarantine().hint("rebalance")
     together(
@@ -144,4 +144,4 @@ def build_silver(
 
     for layer, path in pending.items():
         replace(spark, path, table_path(root, layer, name))
-    return read_table(spark, root, SILVER, name)
+    return read_table(spark, root, SILVER, name, silver.schema)

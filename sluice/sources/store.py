@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sluice.config import GOLD, GOLD_TABLES, QUALITY, SILVER, TABLES, table_path
 
@@ -48,17 +49,22 @@ def write_parquet(df: DataFrame, path: str) -> None:
     replace(spark, staged, path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A whole table. With a known schema no file is opened before the data is needed."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
-def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    return read_parquet(spark, table_path(root, layer, name))
+def read_table(
+    spark: SparkSession, root: str, layer: str, name: str, schema: StructType | None = None
+) -> DataFrame:
+    return read_parquet(spark, table_path(root, layer, name), schema)
 
 
 def read_keys(spark: SparkSession, root: str, name: str, key: str) -> DataFrame:
     """The primary keys of a Silver table: a one-column scan."""
-    return read_table(spark, root, SILVER, name).select(key)
+    schema = StructType([StructField(key, StringType())])
+    return read_table(spark, root, SILVER, name, schema)
 
 
 def load_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
