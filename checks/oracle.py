@@ -305,9 +305,24 @@ ACTIVITY = f"""activity AS (SELECT customer_id,
     count(DISTINCT order_id)::BIGINT AS frequency, {cents(money())} AS monetary
   FROM (SELECT customer_id, order_id, order_date, quantity, unit_price FROM {SALES} AND order_date IS NOT NULL)
   GROUP BY customer_id)"""
-EDGES = """edges AS (SELECT quantile_cont(recency_days::DOUBLE, [0.25, 0.5, 0.75]) AS r,
-    quantile_cont(frequency::DOUBLE, [0.25, 0.5, 0.75]) AS f,
-    quantile_cont(monetary::DOUBLE, [0.25, 0.5, 0.75]) AS m FROM activity)"""
+
+
+def quantile(values: str, p: float) -> str:
+    """Linear interpolation between the neighbours in a sorted list of doubles."""
+    position = f"((len({values}) - 1) * {p}::DOUBLE)"
+    at = f"floor({position})::BIGINT"
+    low, high = f"{values}[{at} + 1]", f"coalesce({values}[{at} + 2], {values}[{at} + 1])"
+    return f"{low} + ({high} - {low}) * ({position} - {at})"
+
+
+def _edges(name: str) -> str:
+    points = ", ".join(quantile(f"l_{name}", p) for p in (0.25, 0.5, 0.75))
+    return f"[{points}] AS {name}"
+
+
+EDGES = f"""edges AS (SELECT {_edges('r')}, {_edges('f')}, {_edges('m')} FROM (
+    SELECT list(recency_days::DOUBLE ORDER BY recency_days) AS l_r, list(frequency::DOUBLE ORDER BY frequency) AS l_f,
+      list(monetary ORDER BY monetary) AS l_m FROM activity))"""
 
 
 def above(value: str, edges: str) -> str:
