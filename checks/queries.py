@@ -241,17 +241,24 @@ def _labeled(layer: str, counts: DataFrame) -> DataFrame:
     return counts.select(F.lit(layer).alias("layer"), "table", "rows")
 
 
+def _clean_up(t: Tables, counts: DataFrame, prefix: str) -> DataFrame:
+    """Take the counts, a row per table, and leave no files or schemas behind."""
+    rows = counts.collect()
+    unpublish(t.spark, prefix)
+    t.staging.drop()
+    return t.spark.createDataFrame(rows, counts.schema)
+
+
 def layer_row_counts(t: Tables) -> DataFrame:
     """The whole build from CSV files, and the rows each layer ends up with."""
     prefix = "sluice_layers_"
     root = _build_everything(t, prefix)
-    unpublish(t.spark, prefix)
     gold_tables = {n.removeprefix("gold_"): df for n, df in load_gold(t.spark, root).items()}
     result = _labeled("gold", count_rows(gold_tables))
     for layer in (BRONZE, SILVER, QUARANTINE):
         tables = {name: read_table(t.spark, root, layer, name) for name in TABLES}
         result = result.unionByName(_labeled(layer, count_rows(tables)))
-    return result
+    return _clean_up(t, result, prefix)
 
 
 def published_tables(t: Tables) -> DataFrame:
@@ -261,7 +268,7 @@ def published_tables(t: Tables) -> DataFrame:
     published = publish(t.spark, root, prefix)  # publishing again replaces the tables
     counts = count_rows({name.removeprefix(prefix): df for name, df in published.items()})
     parts = F.split("table", "[.]")
-    return counts.select(parts[0].alias("layer"), parts[1].alias("table"), "rows")
+    return _clean_up(t, counts.select(parts[0].alias("layer"), parts[1].alias("table"), "rows"), prefix)
 
 
 # -- Gold -----------------------------------------------------------------------------
