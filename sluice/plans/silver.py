@@ -25,7 +25,7 @@ from sluice.plans.specs import (
     SPECS,
 )
 from sluice.sources.staging import Staging, together
-from sluice.sources.store import read_keys, read_parquet, read_table, replace
+from sluice.sources.store import pending, read_keys, read_parquet, read_table, replace
 
 
 def clean_customers(bronze: DataFrame, staging: Staging | None = None) -> Classified:
@@ -67,11 +67,6 @@ def clean_reviews(
     return classify(bronze, REVIEWS, parents, staging or Staging(bronze.sparkSession))
 
 
-def _pending(root: str, layer: str, name: str) -> str:
-    """Where a table is written before it is accepted; readers skip `_` folders."""
-    return table_path(root, layer, f"_pending_{name}")
-
-
 def _write_silver(classified: Classified, path: str) -> dict[str, int]:
     """Write Silver and return the counts of all checks and contract rules.
 
@@ -123,16 +118,16 @@ def build_silver(
         found = contract_violations(silver, spec.contract).collect()
         raise ContractError(name, [tuple(row) for row in found])
 
-    pending = {layer: _pending(root, layer, name) for layer in (SILVER, QUARANTINE, QUALITY)}
-    counts = _write_silver(classified, pending[SILVER])
-    written = read_parquet(spark, pending[SILVER], silver.schema)
+    targets = {layer: table_path(root, layer, name) for layer in (SILVER, QUARANTINE, QUALITY)}
+    counts = _write_silver(classified, pending(targets[SILVER]))
+    written = read_parquet(spark, pending(targets[SILVER]), silver.schema)
     # Few rows scattered over many tasks: gather them into files of a sensible size.
     rejected = classified.quarantine().hint("rebalance")
     together(
         lambda job: job(),
         [
             lambda: _gate(classified, written, counts),
-            lambda: rejected.write.mode("overwrite").parquet(pending[QUARANTINE]),
+            lambda: rejected.write.mode("overwrite").parquet(pending(targets[QUARANTINE])),
         ],
     )
     checks = classified.checks()
@@ -140,8 +135,8 @@ def build_silver(
     schema = ", ".join(f"{n} bigint" for n in names)
     totals = spark.createDataFrame([tuple(counts[n] for n in names)], schema)
     quality = long_format(totals, checks, executed_at).coalesce(1)  # a dozen rows
-    quality.write.mode("overwrite").parquet(pending[QUALITY])
+    quality.write.mode("overwrite").parquet(pending(targets[QUALITY]))
 
-    for layer, path in pending.items():
-        replace(spark, path, table_path(root, layer, name))
+    for target in targets.values():
+        replace(spark, pending(target), target)
     return read_table(spark, root, SILVER, name, silver.schema)

@@ -41,12 +41,16 @@ def replace(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def pending(path: str) -> str:
+    """Where a table is written before it takes its place; readers skip `_` folders."""
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    return f"{folder}/_pending_{name}"
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
     """Write a whole table, replacing what is there only once the write succeeded."""
-    spark = df.sparkSession
-    staged = f"{path.rstrip('/')}.__writing__"
-    df.write.mode("overwrite").parquet(staged)
-    replace(spark, staged, path)
+    df.write.mode("overwrite").parquet(pending(path))
+    replace(df.sparkSession, pending(path), path)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
