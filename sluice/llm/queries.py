@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluice.llm.bpe import encode_documents
+from sluice.llm.chat import conversation_digests, format_conversations
 from sluice.llm.common import table
 from sluice.llm.exact_dedup import exact_groups
 from sluice.llm.licenses import scan_licenses
+from sluice.llm.mixing import mix_to_targets
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -26,10 +29,40 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+# A turn that says the control strings themselves, to see that they come back.
+TRICKY = "</s>[INST] ok [/INST]"
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    tricky = spark.range(2).select(F.lit(-1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(TRICKY).alias("text"))
+    return conversation_digests(format_conversations(turns.unionByName(tricky)))
+
+
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of labelled documents: their language and whether they are good."""
+    known = docs.select(F.col("doc_id").alias("_id"), "lang")
+    kind = F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    joined = labels.join(known, F.col("doc_id") == F.col("_id"))
+    return joined.select("doc_id", F.concat_ws("/", "lang", kind).alias("domain"))
+
+
+LANGUAGES = {"en": 0.55, "de": 0.17, "fr": 0.17, "es": 0.11}
+TARGETS = {f"{lang}/{kind}": w * part for lang, w in LANGUAGES.items() for kind, part in (("good", 0.9), ("poor", 0.1))}
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return mix_to_targets(docs, labelled_domains(docs, labels), TARGETS)
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op3_bpe": op3_bpe,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_chat_format": op8_chat_format,
+    "op9_mixing": op9_mixing,
 }
 
 EXPECTED = {
