@@ -11,6 +11,7 @@ from sluice.llm.common import table
 from sluice.llm.exact_dedup import exact_groups
 from sluice.llm.licenses import scan_licenses
 from sluice.llm.mixing import mix_to_targets
+from sluice.llm.toxicity import score_toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -25,6 +26,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op3_bpe": op3_bpe,
+    "op4_toxicity": op4_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_chat_format": op8_chat_format,
     "op9_mixing": op9_mixing,
