@@ -151,10 +151,10 @@ def shingles(words: Words, size: int, whole_if_short: bool) -> tuple[np.ndarray,
         parts, extra = [], np.zeros(len(counts), np.int64)
         for i in few:
             own = words.hash[words.first[i] : words.first[i + 1]]
-            value = np.uint64(len(own))
+            value = np.array([len(own)], np.uint64)
             for h in own:
-                value = mix(np.array([value * np.uint64(0x9FB21C651E98DF25) + h], np.uint64))[0]
-            parts.append(value)
+                value = mix(value * np.uint64(0x9FB21C651E98DF25) + h)
+            parts.append(value[0])
             extra[i] = 1
         hashes = np.insert(hashes, first[few], np.array(parts, np.uint64))
         first = np.concatenate([[0], np.cumsum(n + extra)])

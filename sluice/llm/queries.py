@@ -11,6 +11,8 @@ from sluice.llm.common import table
 from sluice.llm.exact_dedup import exact_groups
 from sluice.llm.licenses import scan_licenses
 from sluice.llm.mixing import mix_to_targets
+from sluice.llm.ngram_join import ngram_links
+from sluice.llm.suffix_dedup import remove_repeats
 from sluice.llm.toxicity import score_toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -30,6 +32,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_links(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -62,13 +68,26 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_to_targets(docs, labelled_domains(docs, labels), TARGETS)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        size.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op3_bpe": op3_bpe,
     "op4_toxicity": op4_toxicity,
+    "op5_ngram_join": op5_ngram_join,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_chat_format": op8_chat_format,
     "op9_mixing": op9_mixing,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 EXPECTED = {
