@@ -11,6 +11,7 @@ from sluice.llm.common import table
 from sluice.llm.exact_dedup import exact_groups
 from sluice.llm.licenses import scan_licenses
 from sluice.llm.mixing import mix_to_targets
+from sluice.llm.multi_index import nearest
 from sluice.llm.ngram_join import ngram_links
 from sluice.llm.suffix_dedup import remove_repeats
 from sluice.llm.toxicity import score_toxicity
@@ -22,6 +23,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -81,6 +86,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_nearest": op2_nearest,
     "op3_bpe": op3_bpe,
     "op4_toxicity": op4_toxicity,
     "op5_ngram_join": op5_ngram_join,
