@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluice.llm.bpe import encode_documents
 from sluice.llm.chat import conversation_digests, format_conversations
 from sluice.llm.common import table
+from sluice.llm.compact_windows import repeated_passages
 from sluice.llm.exact_dedup import exact_groups
 from sluice.llm.licenses import scan_licenses
 from sluice.llm.mixing import mix_to_targets
@@ -45,6 +46,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 # A turn that says the control strings themselves, to see that they come back.
 TRICKY = "</s>[INST] ok [/INST]"
 
@@ -91,6 +96,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_ngram_join": op5_ngram_join,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_compact_windows": op7_compact_windows,
     "op8_chat_format": op8_chat_format,
     "op9_mixing": op9_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,
