@@ -251,13 +251,14 @@ def _products(size: int, percent: int) -> Callable:
     return run
 
 
-def _blocks(clusters: DataFrame, staging: Staging) -> DataFrame:
+def _blocks(clusters: DataFrame, percent: int, staging: Staging) -> DataFrame:
     """(doc_id, block) of (doc_id, cluster, n): a small cluster is one block.
 
     In a large one documents of like size are dealt into blocks, and a block here is a
     pair of these whose sizes allow links. A clash of block numbers only costs time.
     """
-    steps = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(1 / 0.85)))).cast("int")
+    # Sizes that allow a link lie in the same step or in neighbouring ones.
+    steps = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / percent) * 1.0001))).cast("int")
     known = staging.pin(clusters.withColumn("step", steps), "members")
     sizes = known.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_docs"))
     parts = known.groupBy(F.col("cluster").alias("_c"), F.col("step").alias("_s")).agg(
@@ -325,7 +326,7 @@ def ngram_links(docs: DataFrame, size: int = 4, percent: int = 85, staging: Stag
     )
     clusters = components(candidates, staging).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
     by_rep = sets.groupBy(F.col("rep").alias("_rep")).agg(F.max("n").alias("n"))
-    blocked = _blocks(clusters.join(by_rep, F.col("doc_id") == F.col("_rep")).select("doc_id", "cluster", "n"), staging)
+    blocked = _blocks(clusters.join(by_rep, F.col("doc_id") == F.col("_rep")).select("doc_id", "cluster", "n"), percent, staging)
     per_doc = staging.pin(blocked.groupBy("doc_id").agg(F.collect_set("block").alias("blocks")), "blocks")
     needed_texts = known.join(per_doc.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"))
     dealt = needed_texts.select(F.explode("blocks").alias("block"), "doc_id", "text").repartition("block").sortWithinPartitions("block")
@@ -345,3 +346,10 @@ def ngram_links(docs: DataFrame, size: int = 4, percent: int = 85, staging: Stag
         spread_by=["doc_id"],
     )
     return found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def first_of_groups(docs: DataFrame, size: int = 5, percent: int = 80, staging: Staging | None = None) -> DataFrame:
+    """The rows of `docs` that stay, with all columns: of linked documents the smallest doc_id."""
+    found = ngram_links(docs, size, percent, staging).where("component_id != doc_id")
+    gone = found.select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")

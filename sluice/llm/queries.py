@@ -73,6 +73,12 @@ LANGUAGES = {"en": 0.55, "de": 0.17, "fr": 0.17, "es": 0.11}
 TARGETS = {f"{lang}/{kind}": w * part for lang, w in LANGUAGES.items() for kind, part in (("good", 0.9), ("poor", 0.1))}
 
 
+def labelled_languages(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of labelled documents: their language."""
+    known = docs.select(F.col("doc_id").alias("_id"), F.col("lang").alias("domain"))
+    return labels.join(known, F.col("doc_id") == F.col("_id")).select("doc_id", "domain")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return mix_to_targets(docs, labelled_domains(docs, labels), TARGETS)

@@ -301,5 +301,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs` whose text is not predicted toxic, with all their columns."""
-    gone = score_toxicity(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = model.value
+        for batch in batches:
+            if own:
+                data, offsets = text_bytes(batch.column("text").fill_null(""))
+                fine = []
+                for a, b in blocks(offsets, 1 << 22):
+                    part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                    fine.append(own.score(*judged(part, at, own.ratios)) < 0.5)
+                batch = batch.filter(pa.array(np.concatenate(fine) if fine else np.zeros(0, bool)))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)
