@@ -7,6 +7,9 @@ no merge across their border would have come first (`Merges.stays`). Since a mer
 crosses a border that the final encoding has, these last tokens chain back to the whole
 encoding.
 
+Short stretches are read side by side, one column of bytes after the other, with lookups of
+all of them at once; a long one is read by itself.
+
 What was read may still be regrouped by bytes to come, but only over a bounded distance:
 a change can move left only through merges of ever higher rank whose right part is the
 left part of the one before. `Merges.lookahead` follows these chains through the merge
@@ -21,20 +24,24 @@ import json
 from collections.abc import Iterable, Iterator
 from unicodedata import category
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from sluice.llm.common import texts
+from sluice.llm.common import byte_codes, texts
 
 # Fixed values of byte-level BPE: its splitting pattern, written with Unicode's
 # White_Space property, and the printable stand-ins of the bytes.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
-CACHED_CHARS = 64  # longer stretches are encoded anew each time
+CACHED_CHARS = 64  # longer pieces are encoded anew each time
 CACHED_PIECES = 300_000  # then the cache starts over: bounded memory
 FLUSH_EVERY = 256
+SIDE_BY_SIDE = 32  # bytes; longer stretches are read by themselves
+BLOCK_CHARS = 4 << 20  # of texts that are encoded together
+MOST_PAIRS = 1 << 21
 
 
 def byte_symbols() -> dict[str, int]:
@@ -43,6 +50,45 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in PRINTABLE} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+class Lookup:
+    """A table from 64-bit keys to small numbers that looks up many keys at once."""
+
+    _SPREAD = 0x9E3779B97F4A7C15
+
+    def __init__(self, bits: int) -> None:
+        self.bits, self.n, self.probes = bits, 0, 1
+        self.keys = np.zeros(1 << bits, np.uint64)
+        self.values = np.full(1 << bits, -1, np.int32)
+
+    def add(self, key: int, value: int) -> None:
+        if self.n * 2 > len(self.keys):
+            old, self.probes = self.values >= 0, 1
+            pairs = list(zip(self.keys[old].tolist(), self.values[old].tolist()))
+            self.__init__(self.bits + 1)
+            for k, v in pairs:
+                self.add(k, v)
+        slot, probes = (key * self._SPREAD & (1 << 64) - 1) >> (64 - self.bits), 1
+        while self.values[slot] >= 0 and self.keys[slot] != key:
+            slot, probes = (slot + 1) & (1 << self.bits) - 1, probes + 1
+        self.n += self.values[slot] < 0
+        self.keys[slot], self.values[slot] = key, value
+        self.probes = max(self.probes, probes)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The values of `keys`, -1 for those that are not there."""
+        slot = ((keys * np.uint64(self._SPREAD)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        out = self.values[slot]
+        other = np.flatnonzero((self.keys[slot] != keys) & (out >= 0))
+        for _ in range(self.probes - 1):
+            if not other.size:
+                break
+            slot[other] = (slot[other] + 1) & (1 << self.bits) - 1
+            out[other] = self.values[slot[other]]
+            other = other[(self.keys[slot[other]] != keys[other]) & (out[other] >= 0)]
+        out[other] = -1
+        return out
+
+
 class Merges:
     """A merge list over bytes: ids, the parts of every merged token, the lookahead."""
 
@@ -66,6 +112,10 @@ class Merges:
         self.tails = {b[k:]: -1 for b, i in ids.items() if i in self.own for k in range(len(b))}
         self.tails |= {b: i for b, i in ids.items() if i in self.own}
         self._stays: dict[tuple[int, int], bool] = {}
+        self._tables = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_stays": {}, "_tables": None}
 
     def _apply(self, data: bytes) -> list[int]:
         """Merging by rank, as the list is defined; used for single tokens."""
@@ -152,6 +202,54 @@ class Merges:
             end -= size(token)
         yield from reversed(chain)
 
+    def _prepare(self) -> None:
+        """Tables for reading side by side: tokens by the hash of their bytes, known pairs."""
+        self._codes = byte_codes(3)
+        base = np.uint64(0xD1342543DE82EF95)
+        self._steps = np.cumprod(np.full(SIDE_BY_SIDE, base), dtype=np.uint64)
+        tokens = Lookup(17)
+        for data, token in self.ids.items():
+            if token in self.own and len(data) <= SIDE_BY_SIDE:
+                codes = self._codes[np.frombuffer(data, np.uint8)][::-1]
+                tokens.add(int(np.add.reduce(codes * self._steps[: len(data)], dtype=np.uint64)), token)
+        self._size_of = np.zeros(max(self.sizes) + 1, np.int64)
+        self._size_of[list(self.sizes)] = list(self.sizes.values())
+        self._tables = (tokens, Lookup(18))
+
+    def encode_alike(self, words: list[bytes]) -> list[list[int]]:
+        """The tokens of words of one length, at most SIDE_BY_SIDE bytes."""
+        if self._tables is None or self._tables[1].n > MOST_PAIRS:
+            self._prepare()
+        tokens, pairs = self._tables
+        width, n = len(words[0]), len(words)
+        codes = self._codes[np.frombuffer(b"".join(words), np.uint8).reshape(n, width).T]
+        last = np.zeros((width + 1, n), np.int32)
+        for end in range(1, width + 1):
+            rows, hashes = np.arange(n), np.zeros(n, np.uint64)
+            for start in range(end - 1, -1, -1):
+                hashes = hashes + codes[start][rows] * self._steps[end - 1 - start]
+                token = tokens.get(hashes)
+                fits = token >= 0
+                if start:
+                    some = np.flatnonzero(fits)
+                    pair = (last[start][rows[some]].astype(np.uint64) << np.uint64(32)) | token[some].astype(np.uint64)
+                    known = pairs.get(pair)
+                    if (new := known < 0).any():
+                        for p in np.unique(pair[new]).tolist():
+                            pairs.add(p, int(self._stays_apart(p >> 32, p & 0xFFFFFFFF)))
+                        known[new] = pairs.get(pair[new])
+                    fits[some] = known == 1
+                last[end][rows[fits]] = token[fits]
+                if fits.all():
+                    break
+                rows, hashes = rows[~fits], hashes[~fits]
+        chains, place, every = [], np.full(n, width), np.arange(n)
+        while place.any():
+            token = np.where(place > 0, last[place, every], -1)
+            chains.append(token)
+            place = np.where(place > 0, place - self._size_of[token], 0)
+        return [[t for t in row if t >= 0] for row in np.stack(chains[::-1], 1).tolist()]
+
     def _chain(self, last: list[int], base: int, end: int) -> list[tuple[int, int]]:
         """(end, token) from `base` to `end`."""
         chain = []
@@ -189,7 +287,7 @@ class Codec:
         newer = "".join(
             chr(c) for c in map(ord, regex.findall(r"[\p{L}\p{N}]", _non_ascii())) if category(chr(c)) == "Cn"
         )
-        self._newer = regex.compile(f"[{newer}]") if newer else None
+        self._newer = frozenset(newer)
         old = {kind: rf"[\p{{{kind}}}--[{newer}]]" for kind in "LN"}
         rest = rf"[[\P{{White_Space}}--[\p{{L}}\p{{N}}]]||[{newer}]]"
         self._split_newer = regex.compile(
@@ -203,34 +301,34 @@ class Codec:
         found = "|".join(regex.escape(s) for s in sorted(self.added, key=len, reverse=True))
         self._special = regex.compile(f"({found})") if found else None
         self._decimal = {i: b"%d," % i for i in self.merges.bytes}
-        self._pieces: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {}
+        self._fixed = {s: b"%d," % i for s, i in self.added.items()}
+        self._pieces = dict(self._fixed)
         self._ready = True
 
     def __getstate__(self) -> dict:
         return {"merges": self.merges, "added": self.added, "bytes": self.bytes, "_ready": False}
 
-    def _word(self, word: str) -> bytes:
-        known = self._words.get(word)
-        if known is None:
-            known = b"".join(map(self._decimal.__getitem__, self.merges.encode(word.encode())))
-            if len(word) <= CACHED_CHARS:
-                if len(self._words) >= CACHED_PIECES:
-                    self._words.clear()
-                self._words[word] = known
-        return known
-
-    def _piece(self, piece: str) -> bytes:
-        """Ids, each with a comma, of text that begins and ends at borders of stretches."""
-        known = self._pieces.get(piece)
-        if known is None:
-            newer = not piece.isascii() and self._newer and self._newer.search(piece)
-            known = b"".join(map(self._word, (self._split_newer if newer else self._split).findall(piece)))
-            if len(piece) <= CACHED_CHARS:
-                if len(self._pieces) >= CACHED_PIECES:
-                    self._pieces.clear()
-                self._pieces[piece] = known
-        return known
+    def _learn(self, pieces: set[str]) -> None:
+        """Put the ids, each with a comma, of pieces that end at borders into the cache."""
+        stretches = {}
+        for piece in pieces:
+            plain = piece.isascii() or self._newer.isdisjoint(piece)
+            stretches[piece] = (self._split if plain else self._split_newer).findall(piece)
+        by_size: dict[int, list[bytes]] = {}
+        known: dict[bytes, bytes] = {}
+        for word in {w for own in stretches.values() for w in own}:
+            data = word.encode()
+            by_size.setdefault(len(data), []).append(data)
+        decimal = self._decimal
+        for size, words in by_size.items():
+            if size <= SIDE_BY_SIDE:
+                ids = self.merges.encode_alike(words)
+            else:
+                ids = map(self.merges.encode, words)
+            for word, own in zip(words, ids):
+                known[word] = b"".join([decimal[t] for t in own])
+        for piece, own in stretches.items():
+            self._pieces[piece] = b"".join([known[w.encode()] for w in own])
 
     def _borders(self, text: str) -> list[str]:
         """The text cut before every space that a word follows: always a border."""
@@ -246,19 +344,41 @@ class Codec:
             return [p for p in joined if p]
         return [pieces[0], *rest] if pieces[0] else rest
 
-    def encode(self, text: str) -> bytes:
-        """Decimal ids joined by commas."""
+    def encode_all(self, texts_: list[str]) -> Iterator[bytes]:
+        """Decimal ids joined by commas, of each text."""
         if not self._ready:
             self._prepare()
-        parts = self._special.split(text) if self._special else [text]
-        out = []
-        for part in parts:
+        first = 0
+        while first < len(texts_):
+            last, size = first, 0
+            while last < len(texts_) and (last == first or size + len(texts_[last]) <= BLOCK_CHARS):
+                size += len(texts_[last])
+                last += 1
+            cut = [list(self._cut(text)) for text in texts_[first:last]]
+            if len(self._pieces) > CACHED_PIECES:
+                self._pieces = dict(self._fixed)
+            fresh: set[str] = set()
+            for pieces in cut:
+                fresh |= set(pieces).difference(self._pieces)
+            self._learn(fresh)
+            ids = self._pieces.__getitem__
+            for pieces in cut:
+                yield b"".join(map(ids, pieces))[:-1]
+            for piece in fresh:
+                if len(piece) > CACHED_CHARS:
+                    del self._pieces[piece]
+            first = last
+
+    def encode(self, text: str) -> bytes:
+        return next(self.encode_all([text]))
+
+    def _cut(self, text: str) -> Iterator[str]:
+        """The pieces of a text; special tokens are pieces that are always known."""
+        for part in self._special.split(text) if self._special else [text]:
             if part in self.added:
-                out.append(b"%d," % self.added[part])
+                yield part
             elif part:
-                pieces, known = self._borders(part), self._pieces
-                out += [known[p] if p in known else self._piece(p) for p in pieces]
-        return b"".join(out)[:-1]
+                yield from self._borders(part)
 
     def decode(self, ids: bytes) -> Iterator[str]:
         """The text of decimal ids joined by commas, piece by piece."""
@@ -320,9 +440,8 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
         own = codec.value  # a worker that is used again keeps the caches
         for batch in batches:
             rows = []
-            for text in batch.column("text"):
-                text = text.as_py()
-                ids = own.encode(text)
+            listed = batch.column("text").to_pylist()
+            for text, ids in zip(listed, own.encode_all(listed)):
                 digest, same, place = hashlib.sha256(), True, 0
                 for piece in own.decode(ids):
                     digest.update(piece.encode())
