@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Texts are handled in blocks of about this many bytes, to stay within a core's cache
@@ -92,6 +92,31 @@ def prefix_hashes(codes: np.ndarray) -> np.ndarray:
     return sums
 
 
+# Slots of the filter below: at most SLOTS / 64 rows (4 MB) are broadcast.
+SLOTS = 1 << 24
+
+
+def maybe_among(rows: DataFrame, column: str, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows whose `column` may be among the values of `key` in `wanted`.
+
+    A bitmap of fixed size keeps most other rows out of the shuffle of the join that must
+    follow; rows that only share a slot are left to that join.
+    """
+
+    def slot(name: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(name)), F.lit(SLOTS)).cast("int")
+
+    bits = (
+        wanted.select(slot(key).alias("_slot"))
+        .groupBy(F.expr("_slot DIV 64").alias("_word"))
+        .agg(F.expr("bit_or(shiftleft(1L, _slot % 64))").alias("_bits"))
+    )
+    found = rows.withColumn("_slot", slot(column)).join(
+        F.broadcast(bits), F.expr("_slot DIV 64") == F.col("_word")
+    )
+    return found.where(F.expr("shiftrightunsigned(_bits, _slot % 64) & 1 = 1")).select(*rows.columns)
+
+
 class Words:
     """The words of a block of texts, in order.
 

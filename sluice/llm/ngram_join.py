@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import SPACED, Words, blocks, byte_codes, folded, mix, shingles, signed, text_bytes, texts
+from sluice.llm.common import SPACED, Words, blocks, byte_codes, folded, maybe_among, mix, shingles, signed, text_bytes, texts
 from sluice.llm.components import components
 from sluice.operators.skew import mark_hot, split_lookup
 from sluice.sources.staging import Staging
@@ -137,30 +137,37 @@ def _first_columns(size: int, percent: int, rarity) -> Callable:
 def _pairs(percent: int) -> Callable:
     """Pairs of rows that share a column, from entries sorted by (gram, n, d1, d2)."""
 
-    def emit(gram: np.ndarray, ids: np.ndarray, crowded: bool) -> tuple[np.ndarray, np.ndarray]:
+    def all_pairs(gram: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         left, right = [], []
-        m = len(gram)
-        for d in range(1, 2 if crowded else min(m, FULL)):
+        for d in range(1, min(len(gram), FULL)):
             same = np.flatnonzero(gram[:-d] == gram[d:])
             if not same.size:
                 break
-            fits = ids[same, 2] * 100 >= ids[same + d, 2] * percent
-            left.append(same[fits])
-            right.append(same[fits] + d)
-        if not left:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(left), np.concatenate(right)
-
-    def rows(ids: np.ndarray, left: np.ndarray, right: np.ndarray, full: bool) -> pa.RecordBatch:
-        a, b = ids[left], ids[right]
-        columns = [a[:, 0], a[:, 1], a[:, 2], b[:, 0], b[:, 1], b[:, 2], np.full(len(left), full)]
+            same = same[ids[same, 2] * 100 >= ids[same + d, 2] * percent]
+            left.append(same)
+            right.append(same + d)
+        places = [np.concatenate(side) if side else np.zeros(0, np.int64) for side in (left, right)]
+        return ids[places[0]], ids[places[1]]
+
+    def chains(gram: np.ndarray, ids: np.ndarray, head: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows tied to the first of those that follow each other by size; the last one's first."""
+        follows = np.zeros(len(gram), bool)
+        follows[1:] = (gram[1:] == gram[:-1]) & (ids[:-1, 2] * 100 >= ids[1:, 2] * percent)
+        heads = ids[np.maximum.accumulate(np.where(follows, 0, np.arange(len(gram))))]
+        if head is not None:  # the first row continues a chain
+            heads[: np.argmin(np.append(follows[1:], False)) + 1] = head
+        return heads[follows], ids[follows], heads[-1]
+
+    def rows(a: np.ndarray, b: np.ndarray, full: bool) -> pa.RecordBatch:
+        columns = [a[:, 0], a[:, 1], a[:, 2], b[:, 0], b[:, 1], b[:, 2], np.full(len(a), full)]
         return pa.RecordBatch.from_arrays(
             [pa.array(np.ascontiguousarray(c)) for c in columns], names=["a1", "a2", "an", "b1", "b2", "bn", "full"]
         )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Entries of the column that is not finished: all of them, or the last if it is full.
-        gram, ids, full = np.zeros(0, np.int64), np.zeros((0, 3), np.int64), False
+        # Entries of the column that is not finished: all of them, or, if it is full, the
+        # last one and the head of its chain.
+        gram, ids, head = np.zeros(0, np.int64), np.zeros((0, 3), np.int64), None
         for batch in chain(batches, [None]):
             if batch is not None:
                 g = np.asarray(batch.column("gram"))
@@ -174,17 +181,20 @@ def _pairs(percent: int) -> Callable:
             starts = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
             sizes = np.diff(np.append(starts, len(gram)))
             big = sizes > FULL
-            big[0] |= full
+            big[0] |= head is not None
             last = len(gram) if batch is None or big[-1] else starts[-1]
-            in_big = np.repeat(big, sizes)
-            for crowded in (False, True):
-                chosen = np.flatnonzero((in_big == crowded)[:last])
-                if chosen.size:
-                    left, right = emit(gram[chosen], ids[chosen], crowded)
-                    if len(left):
-                        yield rows(ids[chosen], left, right, crowded)
-            full = bool(big[-1])
-            keep = len(gram) - 1 if full else last
+            in_big = np.repeat(big, sizes)[:last]
+            few = np.flatnonzero(~in_big)
+            if few.size and len((found := all_pairs(gram[few], ids[few]))[0]):
+                yield rows(*found, False)
+            many = np.flatnonzero(in_big)
+            if many.size:
+                a, b, head = chains(gram[many], ids[many], head)
+                if len(a):
+                    yield rows(a, b, True)
+            if not big[-1]:
+                head = None
+            keep = len(gram) - 1 if big[-1] else last
             gram, ids = gram[keep:], ids[keep:]
 
     return run
@@ -318,7 +328,7 @@ def ngram_links(docs: DataFrame, size: int = 4, percent: int = 85, staging: Stag
     near = pairs.groupBy("a1", "a2", "an", "b1", "b2", "bn").agg(
         F.count(F.lit(1)).alias("n_shared"), F.bool_or("full").alias("full")
     ).where(F.col("full") | (F.col("n_shared") >= needed))
-    side = lambda x: sets.select(F.col("d1").alias(f"_{x}1"), F.col("d2").alias(f"_{x}2"), F.col("rep").alias(x))
+    side = lambda x: sets.select(F.col("d1").alias(f"_{x}1"), F.col("d2").alias(f"_{x}2"), F.col("rep").alias(x)).hint("merge")
     candidates = (
         near.join(side("a"), (F.col("a1") == F.col("_a1")) & (F.col("a2") == F.col("_a2")))
         .join(side("b"), (F.col("b1") == F.col("_b1")) & (F.col("b2") == F.col("_b2")))
@@ -328,7 +338,7 @@ def ngram_links(docs: DataFrame, size: int = 4, percent: int = 85, staging: Stag
     by_rep = sets.groupBy(F.col("rep").alias("_rep")).agg(F.max("n").alias("n"))
     blocked = _blocks(clusters.join(by_rep, F.col("doc_id") == F.col("_rep")).select("doc_id", "cluster", "n"), percent, staging)
     per_doc = staging.pin(blocked.groupBy("doc_id").agg(F.collect_set("block").alias("blocks")), "blocks")
-    needed_texts = known.join(per_doc.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"))
+    needed_texts = maybe_among(known, "doc_id", per_doc, "doc_id").join(per_doc.withColumnRenamed("doc_id", "_id").hint("merge"), F.col("doc_id") == F.col("_id"))
     dealt = needed_texts.select(F.explode("blocks").alias("block"), "doc_id", "text").repartition("block").sortWithinPartitions("block")
     links = staging.pin(dealt.mapInArrow(_products(size, percent), "a bigint, b bigint"), "links")
     reach = components(links, staging)

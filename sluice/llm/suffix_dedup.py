@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import blocks, byte_codes, mix, powers, prefix_hashes, text_bytes, texts
+from sluice.llm.common import blocks, byte_codes, maybe_among, mix, powers, prefix_hashes, text_bytes, texts
 from sluice.sources.staging import Staging
 
 LENGTH = 400
@@ -349,7 +349,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, staging: Staging | Non
         .agg(F.collect_list(F.struct("key", "start", "n", "anchor", "done")).alias("asked"))
     )
     shards = (
-        known.join(asks, same_doc("_doc", "_mark"))
+        maybe_among(known, "doc_id", asks, "_doc")
+        .join(asks.hint("merge"), same_doc("_doc", "_mark"))
         .select("doc_id", "mark", "text", "asked")
         .mapInArrow(
             _cut_out(length),
@@ -366,7 +367,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, staging: Staging | Non
         .agg(F.collect_set(F.struct("start", end.cast("int").alias("end"))).alias("spans"))
     )
     return (
-        known.join(spans, same_doc("_doc", "_mark"), "left")
+        known.join(spans.hint("merge"), same_doc("_doc", "_mark"), "left")
         .select("doc_id", "text", "spans")
         .mapInArrow(_remove, "doc_id bigint, n_bytes bigint, spans array<struct<start int, end int>>, kept binary")
     )
