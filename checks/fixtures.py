@@ -91,7 +91,7 @@ SELECT CAST(o_orderkey AS BIGINT) AS _ord,
   CASE WHEN o_orderkey % 4 = 0 THEN '  ' ELSE ' ok' END AS title,
   CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderpriority END AS comment,
   concat('2024-02-', lpad(CAST(1 + o_orderkey % 28 AS STRING), 2, '0'), ' 08:00:00') AS created_at
-FROM {orders} WHERE o_orderkey % 3 = 0
+FROM {orders}
 UNION ALL
 SELECT 1000000 + o_orderkey, concat('R', CAST(o_orderkey AS STRING)), concat('O', CAST(o_orderkey AS STRING)), '5', 'newer', NULL, '2024-03-01 00:00:00'
 FROM {orders} WHERE o_orderkey % 120 = 21

@@ -13,7 +13,7 @@ from checks.fixtures import bronze_table, raw_table, source
 from sluice.config import BRONZE, INGESTED_AT, QUARANTINE, ROW_ORDER, SILVER, TABLES, raw_path
 from sluice.operators import columns, profile, splits
 from sluice.operators.contracts import contract_violations
-from sluice.operators.quality import QualityReport
+from sluice.operators.quality import Findings, missing, unaccepted
 from sluice.plans import gold
 from sluice.plans.bronze import ingest
 from sluice.plans.build import run
@@ -149,31 +149,29 @@ def quarantine_union(t: Tables) -> DataFrame:
 
 
 def null_counts(t: Tables) -> DataFrame:
-    report = QualityReport(t.spark)
+    found = Findings(t.spark)
     for name in TABLES:
         df = t.raw(name)
-        report.null_counts(df, name, [c for c in df.columns if c != ROW_ORDER], "bronze")
-    return report.to_frame(NOW).drop("executed_at")
+        found.check(df, *(missing(name, c, "bronze") for c in df.columns if c != ROW_ORDER))
+    return found.rows(NOW).drop("executed_at")
 
 
 def duplicate_check(t: Tables) -> DataFrame:
-    report = QualityReport(t.spark)
+    found = Findings(t.spark)
     for name in TABLES:
-        report.duplicate_check(t.raw(name), name, SPECS[name].key, "bronze")
-    return report.to_frame(NOW).drop("executed_at")
+        found.check_repeats(t.raw(name), name, SPECS[name].key, "bronze")
+    return found.rows(NOW).drop("executed_at")
 
 
 def accepted_values_check(t: Tables) -> DataFrame:
-    report = QualityReport(t.spark)
-    report.accepted_values_check(t.raw("products"), "products", "category", PRODUCT_CATEGORIES, "bronze")
-    return report.to_frame(NOW).drop("executed_at")
+    check = unaccepted("products", "category", PRODUCT_CATEGORIES, "bronze")
+    return Findings(t.spark).check(t.raw("products"), check).rows(NOW).drop("executed_at")
 
 
 def row_count_check(t: Tables) -> DataFrame:
-    report = QualityReport(t.spark)
     kept, _ = _null_split(t)
-    report.row_count("customers", t.raw("customers").count(), kept.count(), "silver")
-    return report.to_frame(NOW).drop("executed_at")
+    before, after = t.raw("customers").count(), kept.count()
+    return Findings(t.spark).note_shrinkage("customers", before, after, "silver").rows(NOW).drop("executed_at")
 
 
 def quality_checks(t: Tables) -> DataFrame:

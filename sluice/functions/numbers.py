@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Fine enough for unit prices, with 18 digits left of the point; sums widen it to 38.
 MONEY = "decimal(28,10)"
+RESIDUE = "decimal(38,30)"
+PARTS = ("money", "small", "dust", "unfit")
 
 
 def round_half_even(value: Column) -> Column:
@@ -41,23 +43,40 @@ def percent(failed: Column, checked: Column) -> Column:
 
 
 def money_parts(amount: Column, name: str) -> list[Column]:
-    """Aggregates that add up a double column exactly, whatever the order of the rows.
+    """Aggregates that add up a double column without regard to the order of the rows.
 
-    Amounts are added as decimals. The ones a decimal cannot hold (18 digits and more,
-    infinities) are added as doubles on the side.
+    Amounts are added as decimals of ten places, and what these leave of each amount as
+    decimals of thirty. What is smaller still is added as doubles. An amount that no
+    decimal of 18 digits before the point can hold is only counted: see `money_total`.
     """
     money = amount.try_cast(MONEY)
+    left = amount - money.cast("double")
+    small = left.try_cast(RESIDUE)
     return [
         F.sum(money).alias(f"{name}_money"),
-        F.sum(F.when(money.isNull(), amount)).alias(f"{name}_rest"),
+        F.sum(small).alias(f"{name}_small"),
+        F.sum(left - small.cast("double")).alias(f"{name}_dust"),
+        F.count(F.when(amount.isNotNull() & money.isNull(), 1)).alias(f"{name}_unfit"),
     ]
 
 
+def add_parts(name: str) -> list[Column]:
+    """Aggregates that combine the parts of many groups under the same names."""
+    return [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in PARTS]
+
+
 def money_total(name: str, condition: Column | None = None) -> Column:
-    """Aggregate the parts of many groups to one double; 0 if there is nothing to add."""
+    """Aggregate the parts of many groups to one double; 0 if there is nothing to add.
+
+    Raises if there are amounts that were too large to be added exactly.
+    """
 
     def total(part: str) -> Column:
-        value = F.col(part) if condition is None else F.when(condition, F.col(part))
+        value = F.col(f"{name}_{part}") if condition is None else F.when(condition, F.col(f"{name}_{part}"))
         return F.coalesce(F.sum(value).cast("double"), F.lit(0.0))
 
-    return total(f"{name}_money") + total(f"{name}_rest")
+    unfit = total("unfit").cast("bigint")
+    problem = F.concat(unfit.cast("string"), F.lit(f" amounts of {name} are too large to be added"))
+    return F.when(unfit > 0, F.raise_error(problem).cast("double")).otherwise(
+        total("money") + (total("small") + total("dust"))
+    )

@@ -14,8 +14,9 @@ def sample(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:
     return df.sample(fraction=fraction, seed=seed)
 
 
-def head(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
+def head(df: DataFrame, n: int = 5, order_by: str | None = None) -> DataFrame:
+    """The first rows by a column that says their order; without one, any rows."""
+    return df.limit(n) if order_by is None else df.orderBy(order_by).limit(n)
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

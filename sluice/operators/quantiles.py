@@ -9,16 +9,17 @@ from __future__ import annotations
 
 from math import floor
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.quality import count_true
 
-# Sketch ranks are off by at most 1 in ACCURACY; brackets reach MARGIN times as far. The
-# last margin spans all values, so that the search always ends with an answer.
+# Sketch ranks are off by at most 1 in ACCURACY. Brackets reach MARGIN to both sides, and
+# ten times as far after each miss; from 1 on they span all values.
 ACCURACY = 10_000
-MARGINS = (4 / ACCURACY, 1.0)
+MARGIN = 4 / ACCURACY
+STRETCHES = 1000  # that a bracket's values are dealt into
 
 
 def _brackets(
@@ -42,6 +43,12 @@ def _brackets(
     return sizes, bounds
 
 
+def _ends(spark: SparkSession, bounds: dict[tuple[str, int], tuple[float, float]]) -> DataFrame:
+    """(column, quantile, least, most) of every bracket: a few rows."""
+    rows = [(c, i, low, high) for (c, i), (low, high) in bounds.items()]
+    return spark.createDataFrame(rows, "column string, quantile int, least double, most double")
+
+
 def _ranked(
     df: DataFrame,
     bounds: dict[tuple[str, int], tuple[float, float]],
@@ -74,9 +81,21 @@ def _ranked(
         .groupBy("column", "quantile", "position", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = Window.partitionBy("column", "quantile").orderBy("value")
-    end = F.sum("n").over(upto)
-    placed = values.withColumn("end", end).withColumn("start", F.col("end") - F.col("n"))
+    # Values are dealt out by range and counted within their stretch; what the stretches
+    # before hold is a short table. So no task needs all values of a bracket.
+    stretch = F.width_bucket(F.col("value"), F.col("least"), F.col("most"), F.lit(STRETCHES))
+    ends = F.broadcast(_ends(df.sparkSession, bounds))
+    dealt = values.join(ends, ["column", "quantile"]).withColumn("stretch", F.coalesce(stretch, F.lit(0)))
+    per_stretch = dealt.groupBy("column", "quantile", "stretch").agg(F.sum("n").alias("held"))
+    in_order = Window.partitionBy("column", "quantile").orderBy("stretch")
+    before = per_stretch.withColumn("before", F.sum("held").over(in_order) - F.col("held")).drop("held")
+    upto = Window.partitionBy("column", "quantile", "stretch").orderBy("value")
+    end = F.sum("n").over(upto) + F.col("before")
+    placed = (
+        dealt.join(before, ["column", "quantile", "stretch"])
+        .withColumn("end", end)
+        .withColumn("start", F.col("end") - F.col("n"))
+    )
 
     def value_at(position: Column) -> Column:
         inside = (F.col("start") <= position) & (position < F.col("end"))
@@ -95,17 +114,18 @@ def quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) ->
     is a few numbers per quantile. A column without values has no quantiles.
     """
     result: dict[tuple[str, int], float] = {}
-    for margin in MARGINS:
-        sizes, bounds = _brackets(df, columns, probabilities, margin)
+    open_, margin = columns, MARGIN
+    while open_:
+        sizes, bounds = _brackets(df, open_, probabilities, margin)
         bounds = {key: b for key, b in bounds.items() if key not in result}
-        if not bounds:
-            break
         exact = {(c, i): (sizes[c] - 1) * probabilities[i] for c, i in bounds}
         positions = {key: floor(p) for key, p in exact.items()}
-        for key, (low, high) in _ranked(df, bounds, positions).items():
+        for key, (low, high) in _ranked(df, bounds, positions).items() if bounds else ():
             fraction = exact[key] - positions[key]
             if low is not None and (fraction == 0 or high is not None):
                 result[key] = low if fraction == 0 else low + (high - low) * fraction
+        open_ = [c for c in open_ if any((c, i) in bounds and (c, i) not in result for i in range(len(probabilities)))]
+        margin *= 10
     return {
         c: [result[c, i] for i in range(len(probabilities))] if (c, 0) in result else []
         for c in columns

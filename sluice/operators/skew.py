@@ -33,6 +33,15 @@ def _fits_broadcast(table: DataFrame) -> bool:
     return size <= limit
 
 
+def hashable(rows: DataFrame) -> list[str]:
+    """The columns that can be hashed: all but maps, and what has maps or variants within."""
+    return [
+        field.name
+        for field in rows.schema
+        if not any(kind in field.dataType.simpleString() for kind in ("map<", "variant"))
+    ]
+
+
 def lookup(
     rows: DataFrame,
     key: str,
@@ -45,8 +54,8 @@ def lookup(
     """Left-join `rows` to a stored table (key, hot, *values), adding `values` and `_found`.
 
     The table has one row per key. A small one is joined as it is, which shuffles
-    nothing; otherwise see `split_lookup`. What is added to rows that are not `active`
-    is undefined.
+    nothing; otherwise see `split_lookup`. Only the plan differs: both take the same rows
+    and give the same answer. What is added to rows that are not `active` is undefined.
     """
     if not _fits_broadcast(table):
         hot, cold = table.where("hot"), table.where("NOT hot")
@@ -76,7 +85,7 @@ def split_lookup(
 
     `hot` has its rows for hot keys (at most HOT_SHARE) and is broadcast. For `cold`,
     the others, both sides are shuffled by key. `spread_by` names columns that tell rows
-    apart: rows that are already resolved, inactive or without a key get a spread number
+    apart, as far as they can be hashed: rows that are already resolved, inactive or without a key get a spread number
     from them, so that the shuffle scatters those rows. The number is a hash of the row
     and of its input partition. So it scatters exact copies too, and it is the same when
     a lost task runs again.
@@ -106,7 +115,8 @@ def split_lookup(
         resolved = resolved | ~active
     if not null_safe:
         resolved = resolved | F.col(key).isNull()
-    spread = F.xxhash64(F.spark_partition_id(), *spread_by).bitwiseOR(F.lit(1).cast("bigint"))  # never 0
+    usable = set(hashable(rows))
+    spread = F.xxhash64(F.spark_partition_id(), *(name for name in spread_by if name in usable)).bitwiseOR(F.lit(1).cast("bigint"))  # never 0
 
     joined = (
         rows.join(hot_side, matches("_hot_key"), "left")

@@ -10,6 +10,7 @@ from collections.abc import Collection
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from sluice.config import ROW_ORDER
 from sluice.functions import cleaning as c
@@ -46,13 +47,12 @@ def split_orphans(
 ) -> Split:
     """(rows whose foreign key has a parent or is null, rows whose key has none).
 
-    `valid_keys` is a one-column DataFrame of parent keys, or a literal collection.
+    `valid_keys` is a one-column DataFrame of parent keys, or a collection of them.
     """
-    if not isinstance(valid_keys, DataFrame):
-        known = F.col(fk).isin([k for k in valid_keys if k is not None])
-        orphan = F.col(fk).isNotNull() & ~known
-        return df.where(~orphan), df.where(orphan)
     staging = staging or Staging(df.sparkSession)
+    if not isinstance(valid_keys, DataFrame):
+        kind = StructType([StructField(fk, df.schema[fk].dataType)])
+        valid_keys = df.sparkSession.createDataFrame([(key,) for key in valid_keys], kind)
     verdicts = staged_orphans(df.select(fk), fk, valid_keys, df.count(), staging)
     flagged = flag_orphans(df, fk, verdicts, "_orphan", spread_by=df.columns)
     return flagged.where("NOT _orphan").drop("_orphan"), flagged.where("_orphan").drop("_orphan")

@@ -12,9 +12,9 @@ from sluice.operators.quality import timestamp_literal
 from sluice.sources.raw import read_csv_raw
 from sluice.sources.store import read_table, write_parquet
 
-# Free text may contain line breaks. Such files cannot be split, so large tables of this
-# kind should be landed as many files.
-MULTI_LINE_TABLES = frozenset({"reviews"})
+# Text that may contain line breaks. Such files cannot be split, so large tables of this
+# kind should be landed as many files. Tables that are not named are read line by line.
+MULTI_LINE_TABLES = frozenset({"reviews", "products"})
 
 
 def row_order() -> F.Column:
@@ -29,9 +29,16 @@ def row_order() -> F.Column:
     )
 
 
-def ingest(spark: SparkSession, root: str, name: str, ingested_at: datetime) -> DataFrame:
-    """A raw table as text with its lineage columns. Works for any table."""
-    raw = read_csv_raw(spark, raw_path(root, name), multi_line=name in MULTI_LINE_TABLES)
+def ingest(
+    spark: SparkSession, root: str, name: str, ingested_at: datetime, multi_line: bool | None = None
+) -> DataFrame:
+    """A raw table as text with its lineage columns. Works for any table.
+
+    `multi_line` says whether quoted text may contain line breaks, MULTI_LINE_TABLES
+    unless given.
+    """
+    multi_line = name in MULTI_LINE_TABLES if multi_line is None else multi_line
+    raw = read_csv_raw(spark, raw_path(root, name), multi_line=multi_line)
     return raw.select(
         "*",
         F.lit(f"{name}.csv").alias(SOURCE_FILE),

@@ -29,11 +29,15 @@ def build_all_silver(spark: SparkSession, root: str, staging: Staging, executed_
 
 
 def run(spark: SparkSession, root: str, now: datetime | None = None, prefix: str = "") -> None:
-    """Build every layer under `root` from `<root>/raw/<table>.csv` and publish it."""
+    """Build every layer under `root` from `<root>/raw/<table>.csv` and publish it.
+
+    Staged tables go below `root`, which all executors can reach, and are removed at the end.
+    """
     now = now or datetime.now()
+    staging_root = f"{root.rstrip('/')}/_staging"
     together(lambda name: build_bronze(spark, root, name, now), TABLES)
     log.info("bronze done: %d tables", len(TABLES))
-    with Staging(spark) as staging:
+    with Staging(spark, staging_root) as staging:
         build_all_silver(spark, root, staging, now)
         log.info("gold done: %d tables", len(build_gold(spark, root, staging)))
     log.info("published: %d tables", len(publish(spark, root, prefix)))

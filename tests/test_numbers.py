@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from sluice.functions.numbers import money_parts, money_total, percent, round_exact, round_half_even
@@ -27,11 +28,33 @@ def test_percent(spark):
     assert [row[0] for row in rows] == [50.0, 0.9, 0.0, 1.11]
 
 
-def test_money_does_not_depend_on_order_and_keeps_outliers(spark):
-    amounts = [0.1] * 10 + [None]
-    df = spark.createDataFrame([(a,) for a in amounts], "a double")
-    total = df.agg(*money_parts(F.col("a"), "x")).agg(money_total("x")).first()[0]
-    assert total == 1.0
-    large = df.union(spark.createDataFrame([(1e30,)], "a double"))
-    assert large.agg(*money_parts(F.col("a"), "x")).agg(money_total("x")).first()[0] == 1e30
-    assert df.where("a is null").agg(*money_parts(F.col("a"), "x")).agg(money_total("x")).first()[0] == 0.0
+def total_of(df):
+    return df.agg(*money_parts(F.col("a"), "x")).agg(money_total("x")).first()[0]
+
+
+def amounts_of(spark, amounts):
+    return spark.createDataFrame([(a,) for a in amounts], "a double")
+
+
+def test_money_does_not_depend_on_order(spark):
+    assert total_of(amounts_of(spark, [0.1] * 10 + [None])) == 1.0
+    generator = random.Random(4)
+    amounts = [generator.uniform(-1, 1) * 10 ** generator.randrange(-25, 17) for _ in range(2000)]
+    totals = set()
+    for _ in range(4):
+        generator.shuffle(amounts)
+        totals.add(total_of(amounts_of(spark, amounts).repartition(generator.randrange(1, 9))))
+    assert len(totals) == 1
+    assert total_of(amounts_of(spark, [None])) == 0.0
+
+
+def test_small_amounts_add_up(spark):
+    assert total_of(amounts_of(spark, [1e-11] * 100)) == pytest.approx(1e-9, rel=1e-12)
+    assert total_of(amounts_of(spark, [1e-40] * 100)) == pytest.approx(1e-38, rel=1e-12)
+    assert total_of(amounts_of(spark, [1e-11, 1e-11, 5.25])) == pytest.approx(5.25 + 2e-11, rel=1e-15)
+
+
+@pytest.mark.parametrize("amount", [1e18, -1e30, float("inf")])
+def test_amounts_beyond_the_decimals_raise(spark, amount):
+    with pytest.raises(Exception, match="2 amounts of x are too large"):
+        total_of(amounts_of(spark, [1.0, amount, amount]))

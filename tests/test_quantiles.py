@@ -22,17 +22,35 @@ def test_quantiles_equal_linear_interpolation(spark, n):
 
 def test_many_rows_use_the_bracket(spark, monkeypatch):
     """Far more values than the sketch keeps, and no second pass over all of them."""
-    monkeypatch.setattr(q, "MARGINS", q.MARGINS[:1])
+    passes = []
+    ranked = q._ranked
+    monkeypatch.setattr(q, "_ranked", lambda *a: passes.append(len(a[1])) or ranked(*a))
     df = spark.range(200_000).select((F.xxhash64("id") % 1_000_003).cast("double").alias("x"))
     values = sorted(r.x for r in df.collect())
     assert q.quantiles(df, ["x"], QUARTILES)["x"] == pytest.approx(list(np.quantile(values, QUARTILES)))
+    assert passes == [3]
 
 
-def test_a_missed_bracket_is_searched_again(spark, monkeypatch):
-    """If a bracket does not hold the quantile, the whole range does."""
-    monkeypatch.setattr(q, "MARGINS", (-0.2, 1.0))
-    df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
-    assert q.quantiles(df, ["x"], QUARTILES)["x"] == [249.75, 499.5, 749.25]
+def test_a_missed_bracket_is_widened(spark, monkeypatch):
+    """Brackets that do not hold their quantile at first are searched again, ten times wider."""
+    brackets, margins = q._brackets, []
+
+    def missing_at_first(df, columns, probabilities, margin):
+        margins.append(margin)
+        shifted = [p / 2 for p in probabilities] if len(margins) < 3 else probabilities
+        return brackets(df, columns, shifted, margin)
+
+    monkeypatch.setattr(q, "_brackets", missing_at_first)
+    df = spark.range(200_000).select(F.col("id").cast("double").alias("x"))
+    assert q.quantiles(df, ["x"], QUARTILES)["x"] == [49999.75, 99999.5, 149999.25]
+    assert len(margins) == 3 and margins[2] == pytest.approx(100 * margins[0])
+
+
+def test_all_values_are_ranked_in_stretches(spark, monkeypatch):
+    monkeypatch.setattr(q, "MARGIN", 1.0)
+    df = spark.range(5000).select((F.col("id") % 700).cast("double").alias("x"), F.lit(3.0).alias("same"))
+    found = q.quantiles(df, ["x", "same"], QUARTILES)
+    assert found["x"] == list(np.quantile([i % 700 for i in range(5000)], QUARTILES)) and found["same"] == [3.0] * 3
 
 
 def test_empty_column(spark):

@@ -10,50 +10,65 @@ from tests.helpers import texts, values
 
 
 def test_drop_null_keys(spark):
-    df = spark.createDataFrame([("C1", 1), (None, 2), ("C2", 3)], "id string, x int")
-    kept, rejected = splits.drop_null_keys(df, "id")
-    assert values(kept, "id") == ["C1", "C2"]
-    assert values(rejected, "x") == [2]
+    df = spark.createDataFrame([(k if k % 3 else None, k) for k in range(9)], "key int, n int")
+    kept, rejected = splits.drop_null_keys(df, "key")
+    assert values(kept, "n") == [1, 2, 4, 5, 7, 8]
+    assert values(rejected, "n") == [0, 3, 6]
 
 
-def test_split_outside_range(spark):
-    df = spark.createDataFrame([(v,) for v in (5, 0, -3, 1, None)], "a bigint")
-    kept, rejected = splits.split_outside_range(df, "a", low=1)
-    assert values(kept, "a") == [5, 1, None]
-    assert values(rejected, "a") == [0, -3]
+@pytest.mark.parametrize(
+    ("low", "high", "outside"),
+    [(None, None, []), (2.5, None, [-9.0, 2.0]), (None, 7.0, [float("inf"), float("nan")]), (2.0, 7.0, [-9.0, float("inf"), float("nan")])],
+)
+def test_split_outside_range(spark, low, high, outside):
+    numbers = [-9.0, 2.0, 7.0, None, float("inf"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in numbers], "a double")
+    kept, rejected = splits.split_outside_range(df, "a", low, high)
+    assert list(map(str, values(rejected, "a"))) == list(map(str, outside))
+    assert kept.count() == len(numbers) - len(outside)
 
 
 def test_nullify_not_in_set(spark):
-    df = texts(spark, "a", ["sports", "sportss", None, "beauty"])
-    cleaned, audit = splits.nullify_not_in_set(df, "a", {"sports", "beauty"})
-    assert values(cleaned, "a") == ["sports", None, None, "beauty"]
-    assert values(audit, "a") == ["sportss"]
+    df = texts(spark, "a", ["north", "North", None, "", "south", "norths"])
+    cleaned, audit = splits.nullify_not_in_set(df, "a", {"north", "south"})
+    assert values(cleaned, "a") == ["north", None, None, None, "south", None]
+    assert values(audit, "a") == ["North", "", "norths"]
 
 
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
 @pytest.mark.parametrize("as_frame", [True, False])
-def test_split_orphans(spark, staging, as_frame):
-    df = texts(spark, "fk", ["C1", "C9", None, "C2"])
-    keys = texts(spark, "id", ["C1", "C2", "C3", "C3", None]) if as_frame else ["C1", "C2", "C3", None]
-    kept, orphans = splits.split_orphans(df, "fk", keys, staging)
-    assert sorted(values(kept, "fk"), key=str) == ["C1", "C2", None]
-    assert values(orphans, "fk") == ["C9"]
-
-
-def test_deduplicate_keeps_latest(spark, staging):
-    rows = [("C1", "2021-01-01", "old"), ("C1", "2023-01-01", "new"), ("C2", "2022-01-01", "only")]
-    df = spark.createDataFrame(rows, "id string, at string, v string")
-    df = df.withColumn("at", F.col("at").cast("timestamp_ntz"))
-    kept, removed = splits.deduplicate_by_key(df, "id", "at", staging=staging)
-    assert sorted(values(kept, "v")) == ["new", "only"]
-    assert values(removed, "v") == ["old"]
-    assert kept.columns == df.columns
-
-
-def test_deduplicate_keeps_first(spark, staging):
-    df = spark.createDataFrame([("P1", 10.0), ("P2", 20.0), ("P1", 99.0)], "id string, price double").coalesce(1)
-    kept, removed = splits.deduplicate_by_key(df, "id", staging=staging)
-    assert sorted(values(kept, "price")) == [10.0, 20.0]
-    assert values(removed, "price") == [99.0]
+def test_split_orphans_of_any_columns(spark, staging, as_frame, threshold):
+    """Both ways to look up keys take the same frames, maps included."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, threshold)
+    try:
+        df = spark.createDataFrame([(k, f"k{k % 5}" if k % 7 else None) for k in range(40)], "n int, fk string")
+        df = df.withColumn("m", F.create_map("n", "fk")).withColumn("deep", F.array(F.struct("m")))
+        keys = ["k0", "k3", "k3", "other", None]
+        kept, orphans = splits.split_orphans(df, "fk", texts(spark, "id", keys) if as_frame else keys, staging)
+        known = [r.n for r in df.collect() if r.fk in (None, "k0", "k3")]
+        assert sorted(values(kept, "n")) == known
+        assert sorted(values(orphans, "n")) == sorted({r.n for r in df.collect()} - set(known))
+        assert kept.columns == orphans.columns == df.columns
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_deduplicate_by_a_column(spark, staging):
+    rows = [("a", 3, "x"), ("a", 9, "y"), ("a", None, "z"), ("b", None, "u"), (None, 1, "v"), (None, 2, "w")]
+    df = spark.createDataFrame(rows, "id string, at int, v string")
+    for descending, best in ((True, ["u", "w", "y"]), (False, ["u", "v", "x"])):
+        kept, removed = splits.deduplicate_by_key(df, "id", "at", descending, staging=staging)
+        assert sorted(values(kept, "v")) == best and kept.columns == df.columns
+        assert sorted(values(removed, "v")) == sorted({r[2] for r in rows} - set(best))
+
+
+def test_deduplicate_keeps_the_first_row(spark, staging):
+    df = spark.range(100).select((F.col("id") % 9).alias("key"), F.col("id").alias("n")).coalesce(1)
+    kept, removed = splits.deduplicate_by_key(df, "key", staging=staging)
+    assert sorted(values(kept, "n")) == list(range(9))
+    assert sorted(values(removed, "n")) == list(range(9, 100))
 
 
 def test_quarantine_unites_by_name(spark):
