@@ -1,4 +1,4 @@
-"""Expected results by query name. Queries without one pick rows at random."""
+"""Expected results by query name."""
 
 from __future__ import annotations
 
@@ -23,9 +23,66 @@ _MISSING_ORDER = "order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM
 _QUANTITY = o.integer("quantity")
 
 
-def _rule(column: str, rule: str, broken: str) -> str:
-    return f"""SELECT '{column}' AS "column", '{rule}' AS "check",
-      (count(*) FILTER (WHERE {broken}))::BIGINT AS failed FROM norm_order_items"""
+# The rules of every table's contract beside its unique key.
+CONTRACT_RULES = {
+    "customers": [("customer_id", "not_null", "customer_id IS NULL"), ("created_at", "not_null", "created_at IS NULL")],
+    "products": [
+        ("product_id", "not_null", "product_id IS NULL"),
+        ("category", "isin", f"category NOT IN {o.CATEGORIES}"),
+        ("price", "ge(0)", "price < 0"),
+        ("weight_kg", "ge(0)", "weight_kg < 0"),
+    ],
+    "orders": [
+        ("order_id", "not_null", "order_id IS NULL"),
+        ("customer_id", "not_null", "customer_id IS NULL"),
+        ("status", "isin", f"status NOT IN {o.STATUSES}"),
+    ],
+    "order_items": [
+        ("item_id", "not_null", "item_id IS NULL"),
+        ("order_id", "not_null", "order_id IS NULL"),
+        ("product_id", "not_null", "product_id IS NULL"),
+        ("quantity", "not_null", "quantity IS NULL"),
+        ("quantity", "gt(0)", "quantity <= 0"),
+        ("unit_price", "not_null", "unit_price IS NULL"),
+        ("unit_price", "ge(0)", "unit_price < 0"),
+        ("freight_value", "ge(0)", "freight_value < 0"),
+    ],
+    "payments": [
+        ("payment_id", "not_null", "payment_id IS NULL"),
+        ("order_id", "not_null", "order_id IS NULL"),
+        ("payment_type", "isin", f"payment_type NOT IN {o.PAYMENT_TYPES}"),
+        ("amount", "not_null", "amount IS NULL"),
+        ("amount", "ge(0)", "amount < 0"),
+    ],
+    "reviews": [
+        ("review_id", "not_null", "review_id IS NULL"),
+        ("order_id", "not_null", "order_id IS NULL"),
+        ("score", "ge(1)", "score < 1"),
+        ("score", "le(5)", "score > 5"),
+        ("created_at", "not_null", "created_at IS NULL"),
+    ],
+}
+
+
+def _violations(name: str, table: str, more: tuple[str, ...] = ()) -> str:
+    counted = [
+        f"""SELECT '{column}' AS "column", '{rule}' AS "check",
+          (count(*) FILTER (WHERE {broken}))::BIGINT AS failed FROM {table}"""
+        for column, rule, broken in CONTRACT_RULES[name]
+    ]
+    repeated = f"""SELECT '{o.KEYS[name]}', 'unique', sum(n)::BIGINT
+      FROM (SELECT count(*) AS n FROM {table} GROUP BY {o.KEYS[name]}) WHERE n > 1"""
+    return f"SELECT * FROM ({' UNION ALL '.join([*counted, repeated])}) WHERE failed > 0" + "".join(more)
+
+
+def _typed_violations(name: str) -> str:
+    return f"WITH raw_{name} AS ({raw_sql(name)}), typed AS ({o.NORMALIZED[name]}) {_violations(name, 'typed')}"
+
+
+_SHAPE = """ UNION ALL SELECT * FROM (VALUES
+  ('_source_file', 'column_in_dataframe', 0::BIGINT), ('_ingested_at', 'column_in_dataframe', 0),
+  ('_ord', 'column_in_schema', 0), ('order_date', 'dtype(timestamp_ntz)', 0),
+  ('approved_at', 'dtype(timestamp_ntz)', 0), ('delivered_at', 'dtype(timestamp_ntz)', 0))"""
 
 
 def _report(rows: str, checked: str, failed: str) -> str:
@@ -73,6 +130,11 @@ EXPECTED: dict[str, str] = {
           (SELECT count(*) FROM raw_payments WHERE {o.lost('installments', o.integer('installments'))})::BIGINT AS n_failed
           FROM raw_payments""",
     ),
+    "parse_datetime_pattern": _raw(
+        "orders",
+        f"""SELECT zone, _ord, date_trunc('day', {o.timestamp('order_date')})::TIMESTAMP AS day
+          FROM raw_orders CROSS JOIN (VALUES ('America/Sao_Paulo'), ('UTC')) z(zone)""",
+    ),
     "nullify_outside_range": _raw(
         "reviews",
         f"""SELECT _ord, CASE WHEN s BETWEEN 1 AND 5 THEN s END AS score,
@@ -132,28 +194,12 @@ EXPECTED: dict[str, str] = {
     "row_count_check": _raw(
         "customers", o.check_row("row_count", "customers", "*", "silver", "raw_customers", "customer_id IS NULL")
     ),
-    "contract_violations_green": o.with_tables(
-        ["orders"],
-        """SELECT 'order_id' AS "column", 'unique' AS "check", sum(n)::BIGINT AS failed
-          FROM (SELECT count(*) AS n FROM silver_orders GROUP BY order_id) WHERE n > 1 HAVING sum(n) > 0""",
-    ),
-    "contract_violations_red": (
-        f"WITH raw_order_items AS ({raw_sql('order_items')}), norm_order_items AS ({o.NORMALIZED['order_items']}), v AS ("
-        + " UNION ALL ".join(
-            [
-                _rule("item_id", "not_null", "item_id IS NULL"),
-                _rule("order_id", "not_null", "order_id IS NULL"),
-                _rule("product_id", "not_null", "product_id IS NULL"),
-                _rule("quantity", "not_null", "quantity IS NULL"),
-                _rule("quantity", "gt(0)", "quantity <= 0"),
-                _rule("unit_price", "not_null", "unit_price IS NULL"),
-                _rule("unit_price", "ge(0)", "unit_price < 0"),
-                _rule("freight_value", "ge(0)", "freight_value < 0"),
-                """SELECT 'item_id', 'unique', sum(n)::BIGINT
-                   FROM (SELECT count(*) AS n FROM norm_order_items GROUP BY item_id) WHERE n > 1""",
-            ]
-        )
-        + ") SELECT * FROM v WHERE failed > 0"
+    **{f"contract_violations_{name}": o.with_tables([name], _violations(name, f"silver_{name}")) for name in o.KEYS},
+    **{f"contract_violations_typed_{name}": _typed_violations(name) for name in o.KEYS},
+    "contract_shape": f"WITH raw_orders AS ({raw_sql('orders')}) {_violations('orders', 'raw_orders', (_SHAPE,))}",
+    "contract_raises": _typed_violations("order_items"),
+    "contract_gate": o.with_tables(
+        ["customers"], """SELECT 'customers' AS "table", count(*)::BIGINT AS rows, true AS raised FROM silver_customers"""
     ),
     "bronze_ingest": _raw(
         "customers", "SELECT * EXCLUDE (_ord), 'customers.csv' AS _source_file FROM raw_customers"
@@ -170,6 +216,12 @@ EXPECTED: dict[str, str] = {
     "profile_distinct_values": _raw(
         "products", "SELECT DISTINCT category FROM raw_products WHERE category IS NOT NULL"
     ),
+    "sales_by_state_order": f"""SELECT row_number() OVER (ORDER BY revenue DESC, state) AS place, *
+      FROM ({o.SALES_BY_STATE})""",
+    "monthly_kpis_order": f"SELECT row_number() OVER (ORDER BY month) AS place, * FROM ({o.MONTHLY_KPIS})",
+    "profile_sample": """SELECT count(*) AS table_rows, 0::BIGINT AS foreign_rows, 0::BIGINT AS changed_rows,
+      true AS share_fits FROM orders""",
+    "profile_head": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
     "profile_value_counts": _raw(
         "orders", "SELECT lower(trim(status)) AS status, count(*)::BIGINT AS count FROM raw_orders GROUP BY 1"
     ),

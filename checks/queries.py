@@ -6,18 +6,19 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.fixtures import bronze_table, raw_table, source
-from sluice.config import BRONZE, INGESTED_AT, QUARANTINE, ROW_ORDER, SILVER, TABLES, raw_path
+from sluice.config import BRONZE, INGESTED_AT, QUARANTINE, ROW_ORDER, SILVER, TABLES, raw_path, table_path
 from sluice.operators import columns, profile, splits
-from sluice.operators.contracts import contract_violations
+from sluice.operators.contracts import VIOLATIONS_SCHEMA, ContractError, contract_violations, validate
 from sluice.operators.quality import Findings, missing, unaccepted
 from sluice.plans import gold
 from sluice.plans.bronze import ingest
 from sluice.plans.build import run
 from sluice.plans.classify import Classified, Judged, apply_rules, drop_repeats, normalize
+from sluice.plans.silver import build_silver
 from sluice.plans.specs import ORDER_ITEMS, ORDERS, PRODUCT_CATEGORIES, SPECS
 from sluice.sources.staging import Staging
 from sluice.sources.store import count_rows, load_gold, read_parquet, read_table, write_parquet
@@ -88,6 +89,21 @@ def parse_datetime(t: Tables) -> DataFrame:
     return df.select(ROW_ORDER, "order_date", "approved_at", "delivered_at")
 
 
+def parse_datetime_pattern(t: Tables) -> DataFrame:
+    """Another pattern, under a session zone whose clocks skip hours and under UTC."""
+    key = "spark.sql.session.timeZone"
+    before = t.spark.conf.get(key)
+    day = F.concat_ws("/", F.substring("order_date", 9, 2), F.substring("order_date", 6, 2), F.substring("order_date", 1, 4))
+    frames = []
+    for zone in ("America/Sao_Paulo", "UTC"):
+        t.spark.conf.set(key, zone)
+        df = columns.parse_datetime(t.raw("orders").select(ROW_ORDER, day.alias("day")), "day", "dd/MM/yyyy")
+        frames.append(df.select(F.lit(zone).alias("zone"), ROW_ORDER, "day"))
+        frames[-1].schema  # analysed under this zone
+    t.spark.conf.set(key, before)
+    return frames[0].unionAll(frames[1])
+
+
 def cast_float(t: Tables) -> DataFrame:
     df, failed = columns.cast_float(t.raw("products"), "price")
     return df.select(ROW_ORDER, "price", F.lit(failed).cast("bigint").alias("n_failed"))
@@ -182,17 +198,45 @@ def quality_checks(t: Tables) -> DataFrame:
     return result.drop("executed_at")
 
 
-def contract_violations_green(t: Tables) -> DataFrame:
-    return contract_violations(t.silver("orders"), ORDERS.contract)
+def _typed(t: Tables, name: str) -> DataFrame:
+    """A table that was typed but not cleaned: it breaks most of its rules."""
+    bronze = t.bronze(name)
+    return normalize(bronze, SPECS[name]).select(*(c for c in bronze.columns if c != ROW_ORDER))
 
 
-def contract_violations_red(t: Tables) -> DataFrame:
-    """Order items that were typed but not cleaned break most of their rules."""
-    bronze = t.bronze("order_items")
-    return contract_violations(
-        normalize(bronze, ORDER_ITEMS).select(*(c for c in bronze.columns if c != ROW_ORDER)),
-        ORDER_ITEMS.contract,
-    )
+def _contract(frame: Callable[[Tables, str], DataFrame], name: str) -> Callable[[Tables], DataFrame]:
+    return lambda t: contract_violations(frame(t, name), SPECS[name].contract)
+
+
+def contract_shape(t: Tables) -> DataFrame:
+    """Raw orders: columns that lack, are too many, or are still text; statuses as they came."""
+    return contract_violations(t.raw("orders"), ORDERS.contract)
+
+
+def contract_raises(t: Tables) -> DataFrame:
+    """Everything that the error of a failed validation names."""
+    try:
+        validate(_typed(t, "order_items"), ORDER_ITEMS.contract, "order_items")
+    except ContractError as error:
+        return t.spark.createDataFrame(error.violations, VIOLATIONS_SCHEMA)
+    return t.spark.createDataFrame([], VIOLATIONS_SCHEMA)
+
+
+def contract_gate(t: Tables) -> DataFrame:
+    """A build whose contract fails leaves the files of the build before."""
+    root = t.staging.new_path("root")
+    for faulty in (False, True):
+        bronze = t.bronze("customers")
+        if faulty:
+            bronze = bronze.withColumn("created_at", F.lit("some day"))
+        write_parquet(bronze, table_path(root, BRONZE, "customers"))
+        try:
+            build_silver(t.spark, root, "customers", t.staging, NOW)
+            raised = False
+        except ContractError:
+            raised = True
+    rows = count_rows({"customers": read_table(t.spark, root, SILVER, "customers")})
+    return rows.withColumn("raised", F.lit(raised))
 
 
 # -- layers ---------------------------------------------------------------------------
@@ -287,6 +331,13 @@ def product_performance(t: Tables) -> DataFrame:
     )
 
 
+def _in_order(df: DataFrame) -> DataFrame:
+    """The rows of a small sorted table with their place in it."""
+    return df.withColumn("_id", F.monotonically_increasing_id()).select(
+        F.row_number().over(Window.orderBy("_id")).cast("bigint").alias("place"), *df.columns
+    )
+
+
 def customer_segments(t: Tables) -> DataFrame:
     return gold.build_customer_segments(
         t.silver("orders"), t.silver("order_items"), t.silver("customers"), t.staging
@@ -317,11 +368,24 @@ def profile_value_counts(t: Tables) -> DataFrame:
 
 
 def profile_sample(t: Tables) -> DataFrame:
-    return profile.sample(source(t.spark, t.sf_dir, "orders"))
+    """What holds for any sample: repeatable, rows of the table, about a tenth of them."""
+    orders = source(t.spark, t.sf_dir, "orders")
+    sample, again = profile.sample(orders), profile.sample(orders)
+    foreign = sample.exceptAll(orders).agg(F.count(F.lit(1)).alias("foreign_rows"))
+    changed = sample.exceptAll(again).agg(F.count(F.lit(1)).alias("changed_rows"))
+    sizes = orders.agg(F.count(F.lit(1)).alias("table_rows")).crossJoin(sample.agg(F.count(F.lit(1)).alias("_n")))
+    share = F.col("_n") / F.col("table_rows")
+    # Four standard deviations of a tenth.
+    width = 4 * F.sqrt(F.lit(0.09) / F.col("table_rows"))
+    return (
+        sizes.crossJoin(foreign)
+        .crossJoin(changed)
+        .select("table_rows", "foreign_rows", "changed_rows", (F.abs(share - 0.1) <= width).alias("share_fits"))
+    )
 
 
 def profile_head(t: Tables) -> DataFrame:
-    return profile.head(source(t.spark, t.sf_dir, "orders"))
+    return profile.head(source(t.spark, t.sf_dir, "orders"), order_by="o_orderkey")
 
 
 def _part(split: Callable[[Tables], splits.Split], index: int) -> Callable[[Tables], DataFrame]:
@@ -345,6 +409,7 @@ BODIES: dict[str, Callable[[Tables], DataFrame]] = {
     "lowercase": lowercase,
     "uppercase": uppercase,
     "parse_datetime": parse_datetime,
+    "parse_datetime_pattern": parse_datetime_pattern,
     "cast_float": cast_float,
     "cast_int": cast_int,
     "nullify_outside_range": nullify_outside_range,
@@ -369,8 +434,11 @@ BODIES: dict[str, Callable[[Tables], DataFrame]] = {
     "duplicate_check": duplicate_check,
     "accepted_values_check": accepted_values_check,
     "row_count_check": row_count_check,
-    "contract_violations_green": contract_violations_green,
-    "contract_violations_red": contract_violations_red,
+    **{f"contract_violations_{name}": _contract(Tables.silver, name) for name in TABLES},
+    **{f"contract_violations_typed_{name}": _contract(_typed, name) for name in TABLES},
+    "contract_shape": contract_shape,
+    "contract_raises": contract_raises,
+    "contract_gate": contract_gate,
     "bronze_ingest": bronze_ingest,
     "parquet_round_trip": parquet_round_trip,
     "sales_lines": sales_lines,
@@ -379,6 +447,8 @@ BODIES: dict[str, Callable[[Tables], DataFrame]] = {
     "customer_segments": customer_segments,
     "rfm_cut_points": rfm_cut_points,
     "monthly_kpis": monthly_kpis,
+    "sales_by_state_order": lambda t: _in_order(sales_by_state(t)),
+    "monthly_kpis_order": lambda t: _in_order(monthly_kpis(t)),
     "published_tables": published_tables,
     "layer_row_counts": layer_row_counts,
     "profile_distinct_values": profile_distinct_values,
