@@ -6,19 +6,20 @@ its removal, if any. Silver, quarantine and quality are projections of that one
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column as SparkColumn
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sluice.config import ROW_ORDER
 from sluice.functions import cleaning as c
+from sluice.operators.contracts import usable_columns
 from sluice.operators.keys import flag_duplicates, flag_orphans, staged_orphans, staged_repeats
-from sluice.operators.quality import Check, measure
+from sluice.operators.quality import Check, check_counts, count_true, measure
 from sluice.plans.specs import (
     DATETIME,
     FLOAT,
@@ -147,16 +148,23 @@ def apply_rules(
         judged = flag_orphans(judged, rule.column, found, _orphan(rule.column), [ROW_ORDER])
     reason = F.coalesce(*(F.when(_broken(rule), F.lit(rule.reason)) for rule in spec.rules))
     columns = [name for name in bronze.columns if name != ROW_ORDER]
-    return Judged(spec, judged.withColumn(REASON, reason), columns, total)
+    # Stored, so that rows are parsed and looked up once for all that follows.
+    stored = staging.pin(judged.withColumn(REASON, reason), f"judged-{spec.name}")
+    return Judged(spec, stored, columns, total)
 
 
 @dataclass(frozen=True)
 class Classified:
-    """A table's rows with their fate; everything else is read off it lazily."""
+    """A table's rows with their fate; everything else is read off it lazily.
+
+    `counts` has what was counted while the rows were stored: `checked` and `failed_i` of
+    the checks, `rule_i` of the contract's rules on rows that survive.
+    """
 
     spec: TableSpec
     rows: DataFrame
     columns: list[str]
+    counts: dict[str, int] = field(default_factory=dict)
 
     @property
     def survives(self) -> SparkColumn:
@@ -240,7 +248,18 @@ def drop_repeats(judged: Judged, staging: Staging) -> Classified:
     )
     rows = flag_duplicates(rows, spec.key, repeats, ROW_ORDER, "_duplicate", active=survives)
     fate = F.when(F.col("_duplicate"), F.lit(spec.duplicate_reason)).otherwise(F.col(REASON))
-    return Classified(spec, rows.withColumn(REASON, fate), judged.columns)
+    decided = Classified(spec, rows.withColumn(REASON, fate), judged.columns)
+    counts = check_counts(decided.checks())
+    counts += [
+        count_true(decided.survives & broken).alias(f"rule_{i}")
+        for i, (_, _, broken) in enumerate(
+            spec.contract.row_rules(usable_columns(decided.silver(), spec.contract))
+        )
+    ]
+    # Observed in the stage that writes: a task that runs again is not counted twice.
+    observation = Observation()
+    stored = staging.pin(decided.rows.observe(observation, *counts), f"classified-{spec.name}")
+    return Classified(spec, stored, judged.columns, observation.get)
 
 
 def classify(

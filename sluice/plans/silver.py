@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from sluice.config import BRONZE, QUALITY, QUARANTINE, SILVER, table_path
 from sluice.operators.contracts import (
@@ -13,7 +13,7 @@ from sluice.operators.contracts import (
     shape_violations,
     uniqueness_violations,
 )
-from sluice.operators.quality import check_counts, count_true, long_format
+from sluice.operators.quality import long_format
 from sluice.plans.classify import Classified, classify
 from sluice.plans.specs import (
     CUSTOMERS,
@@ -67,29 +67,9 @@ def clean_reviews(
     return classify(bronze, REVIEWS, parents, staging or Staging(bronze.sparkSession))
 
 
-def _write_silver(classified: Classified, path: str) -> dict[str, int]:
-    """Write Silver and return the counts of all checks and contract rules.
-
-    The counts are observed while writing. Nothing is shuffled between the observation
-    and the write, so each row is counted once even if tasks are lost and run again.
-    """
-    spec = classified.spec
-    rules = spec.contract.row_rules(spec.contract.names)
-    counts = check_counts(classified.checks())
-    counts += [
-        count_true(classified.survives & broken).alias(f"rule_{i}")
-        for i, (_, _, broken) in enumerate(rules)
-    ]
-    observation = Observation()
-    rows = classified.rows.observe(observation, *counts)
-    silver = Classified(spec, rows, classified.columns).silver()
-    silver.write.mode("overwrite").parquet(path)
-    return observation.get
-
-
-def _gate(classified: Classified, written: DataFrame, counts: dict[str, int]) -> None:
+def _gate(classified: Classified, written: DataFrame) -> None:
     """Raise if the written rows break the contract."""
-    spec = classified.spec
+    spec, counts = classified.spec, classified.counts
     rules = spec.contract.row_rules(spec.contract.names)
     found = [
         (column, rule, counts[f"rule_{i}"])
@@ -119,21 +99,21 @@ def build_silver(
         raise ContractError(name, [tuple(row) for row in found])
 
     targets = {layer: table_path(root, layer, name) for layer in (SILVER, QUARANTINE, QUALITY)}
-    counts = _write_silver(classified, pending(targets[SILVER]))
+    silver.write.mode("overwrite").parquet(pending(targets[SILVER]))
     written = read_parquet(spark, pending(targets[SILVER]), silver.schema)
     # Few rows scattered over many tasks: gather them into files of a sensible size.
     rejected = classified.quarantine().hint("rebalance")
     together(
         lambda job: job(),
         [
-            lambda: _gate(classified, written, counts),
+            lambda: _gate(classified, written),
             lambda: rejected.write.mode("overwrite").parquet(pending(targets[QUARANTINE])),
         ],
     )
     checks = classified.checks()
     names = ["checked", *(f"failed_{i}" for i in range(len(checks)))]
     schema = ", ".join(f"{n} bigint" for n in names)
-    totals = spark.createDataFrame([tuple(counts[n] for n in names)], schema)
+    totals = spark.createDataFrame([tuple(classified.counts[n] for n in names)], schema)
     quality = long_format(totals, checks, executed_at).coalesce(1)  # a dozen rows
     quality.write.mode("overwrite").parquet(pending(targets[QUALITY]))
 
