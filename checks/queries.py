@@ -22,7 +22,8 @@ from sluice.plans.silver import build_silver
 from sluice.plans.specs import ORDER_ITEMS, ORDERS, PRODUCT_CATEGORIES, SPECS
 from sluice.sources.staging import Staging
 from sluice.sources.store import count_rows, load_gold, read_parquet, read_table, write_parquet
-from sluice.sources.warehouse import publish, unpublish
+from sluice.sources.versions import current
+from sluice.sources.warehouse import attach, unpublish
 
 Query = Callable[[SparkSession, str], DataFrame]
 NOW = datetime(2024, 1, 1)
@@ -295,6 +296,7 @@ def layer_row_counts(t: Tables) -> DataFrame:
     """The whole build from CSV files, and the rows each layer ends up with."""
     prefix = "sluice_layers_"
     root = _build_everything(t, prefix)
+    root = current(t.spark, root)
     gold_tables = {n.removeprefix("gold_"): df for n, df in load_gold(t.spark, root).items()}
     result = _labeled("gold", count_rows(gold_tables))
     for layer in (BRONZE, SILVER, QUARANTINE):
@@ -307,7 +309,8 @@ def published_tables(t: Tables) -> DataFrame:
     """Row counts of all published tables, read through the catalog."""
     prefix = "sluice_check_"
     root = _build_everything(t, prefix)
-    published = publish(t.spark, root, prefix)  # publishing again replaces the tables
+    unpublish(t.spark, prefix)  # as in a session that has built nothing
+    published = attach(t.spark, root, prefix)
     counts = count_rows({name.removeprefix(prefix): df for name, df in published.items()})
     parts = F.split("table", "[.]")
     return _clean_up(t, counts.select(parts[0].alias("layer"), parts[1].alias("table"), "rows"), prefix)

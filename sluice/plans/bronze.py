@@ -47,6 +47,10 @@ def ingest(
     )
 
 
-def build_bronze(spark: SparkSession, root: str, name: str, ingested_at: datetime) -> DataFrame:
-    write_parquet(ingest(spark, root, name, ingested_at), table_path(root, BRONZE, name))
-    return read_table(spark, root, BRONZE, name)
+def build_bronze(
+    spark: SparkSession, root: str, name: str, ingested_at: datetime, target: str | None = None
+) -> DataFrame:
+    """Land the raw files below `root` in the store at `target`, which is `root` unless given."""
+    target = target or root
+    write_parquet(ingest(spark, root, name, ingested_at), table_path(target, BRONZE, name))
+    return read_table(spark, target, BRONZE, name)

@@ -14,7 +14,8 @@ from sluice.plans.gold import build_gold
 from sluice.plans.silver import build_silver
 from sluice.session import build_session
 from sluice.sources.staging import Staging, together
-from sluice.sources.warehouse import publish
+from sluice.sources.versions import finish, new_version
+from sluice.sources.warehouse import attach, write_checks
 
 log = logging.getLogger("sluice")
 
@@ -31,16 +32,21 @@ def build_all_silver(spark: SparkSession, root: str, staging: Staging, executed_
 def run(spark: SparkSession, root: str, now: datetime | None = None, prefix: str = "") -> None:
     """Build every layer under `root` from `<root>/raw/<table>.csv` and publish it.
 
-    Staged tables go below `root`, which all executors can reach, and are removed at the end.
+    The layers go to a version of their own that readers see once all of it is there; see
+    `versions`. Staged tables go below `root` as well, which all executors can reach, and
+    are removed at the end.
     """
     now = now or datetime.now()
     staging_root = f"{root.rstrip('/')}/_staging"
-    together(lambda name: build_bronze(spark, root, name, now), TABLES)
+    version = new_version(root)
+    together(lambda name: build_bronze(spark, root, name, now, version), TABLES)
     log.info("bronze done: %d tables", len(TABLES))
     with Staging(spark, staging_root) as staging:
-        build_all_silver(spark, root, staging, now)
-        log.info("gold done: %d tables", len(build_gold(spark, root, staging)))
-    log.info("published: %d tables", len(publish(spark, root, prefix)))
+        build_all_silver(spark, version, staging, now)
+        log.info("gold done: %d tables", len(build_gold(spark, version, staging)))
+    write_checks(spark, version)
+    finish(spark, root, version)
+    log.info("published: %d tables", len(attach(spark, root, prefix)))
 
 
 def main() -> None:

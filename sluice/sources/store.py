@@ -10,6 +10,7 @@ from sluice.config import GOLD, GOLD_TABLES, QUALITY, SILVER, TABLES, table_path
 
 
 def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path. Needs classic Spark: Spark Connect has no JVM handle."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
@@ -24,6 +25,18 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def create_file(spark: SparkSession, path: str) -> None:
+    """An empty file, which appears at once."""
+    fs, target = _file_system(spark, path)
+    fs.create(target, True).close()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder; none if there is no folder."""
+    fs, target = _file_system(spark, path)
+    return [item.getPath().getName() for item in fs.listStatus(target)] if fs.exists(target) else []
+
+
 def make_temporary(spark: SparkSession, path: str) -> None:
     """Create a folder that is removed when the application ends."""
     fs, target = _file_system(spark, path)

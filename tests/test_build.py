@@ -10,8 +10,9 @@ from sluice.operators.contracts import ContractError
 from sluice.plans.bronze import build_bronze, ingest
 from sluice.plans.build import run
 from sluice.plans.silver import build_silver
-from sluice.sources.store import exists, load_gold, load_quality, read_table
-from sluice.sources.warehouse import publish, unpublish
+from sluice.sources.store import exists, list_names, load_gold, load_quality, read_table
+from sluice.sources.versions import current
+from sluice.sources.warehouse import attach, unpublish
 from tests.test_silver import SILVER_ROWS
 
 SF = "/root/testdata/sf0.001"
@@ -78,18 +79,20 @@ def test_whole_build_is_complete_and_repeatable(spark, tmp_path):
         write_raw_csv(tables, root, name)
     try:
         run(spark, root, NOW, "built_")
-        assert {n: read_table(spark, root, SILVER, n).count() for n in TABLES} == SILVER_ROWS
-        assert load_quality(spark, root).count() == 59
-        first = snapshot(spark, root)
+        built = current(spark, root)
+        assert {n: read_table(spark, built, SILVER, n).count() for n in TABLES} == SILVER_ROWS
+        assert load_quality(spark, built).count() == 59
+        first = snapshot(spark, built)
         assert len(first) == 18 + len(GOLD_TABLES)
 
         spark.sql("CREATE TABLE built_gold.stale USING parquet AS SELECT 1 AS x")
         run(spark, root, NOW, "built_")
-        assert snapshot(spark, root) == first
+        assert current(spark, root) != built and snapshot(spark, current(spark, root)) == first
+        assert not exists(spark, f"{root}/_staging") or not list_names(spark, f"{root}/_staging")
         assert not spark.catalog.tableExists("built_gold.stale")
 
-        published = publish(spark, root, "built_")
-        assert len(published) == 17
+        unpublish(spark, "built_")
+        assert len(attach(spark.newSession(), root, "built_")) == 17
         assert spark.sql("SELECT count(*) FROM built_silver.orders").first()[0] == SILVER_ROWS["orders"]
         assert spark.sql("SELECT count(*) FROM built_quality.checks").first()[0] == 59
         assert spark.sql("SELECT sum(num_orders) FROM built_gold.sales_by_state").first()[0] > 0
@@ -97,6 +100,34 @@ def test_whole_build_is_complete_and_repeatable(spark, tmp_path):
         unpublish(spark, "built_")
 
 
+def test_a_failing_build_leaves_the_version_before(spark, small_root):
+    """Readers go on with all tables of one run when the next one stops on the way."""
+    try:
+        run(spark, small_root, NOW, "kept_")
+        built = current(spark, small_root)
+        first = snapshot(spark, built)
+        header, row = RAW["payments"]
+        land(small_root, "customers", [RAW["customers"][0], [*RAW["customers"][1][:4], "sp", *RAW["customers"][1][5:]]])
+        land(small_root, "payments", [header, [*row[:4], "x"]])  # its contract fails after others were built
+        with pytest.raises(ContractError):
+            run(spark, small_root, NOW, "kept_")
+        assert current(spark, small_root) == built and snapshot(spark, built) == first
+        assert spark.sql("SELECT state FROM kept_silver.customers").first()[0] == "RJ"
+        land(small_root, "payments", RAW["payments"])
+        run(spark, small_root, NOW, "kept_")
+        assert spark.sql("SELECT state FROM kept_silver.customers").first()[0] == "SP"
+        assert len(list_names(spark, f"{small_root}/runs")) == 2
+    finally:
+        unpublish(spark, "kept_")
+
+
+def test_line_breaks_in_any_table(spark, tmp_path):
+    rows = [["a", "b"], ["1", "two\nlines"]]
+    land(str(tmp_path), "anything", rows)
+    (row,) = ingest(spark, str(tmp_path), "anything", NOW, multi_line=True).collect()
+    assert (row.a, row.b) == ("1", "two\nlines")
+
+
 def test_quoted_line_breaks_and_empty_fields(spark, small_root):
     (review,) = ingest(spark, small_root, "reviews", NOW).collect()
     assert review.comment == 'two\nlines, "quoted"'
