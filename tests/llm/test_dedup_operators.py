@@ -162,9 +162,9 @@ def test_removed_bytes_of_awkward_rows(spark):
 def test_windows_cover_every_stretch():
     """Each stretch of the width lies in exactly one window that has its smallest token."""
     rng, width = np.random.default_rng(4), 7
-    values = rng.permutation(200).astype(np.uint64)
+    values = (rng.permutation(200).astype(np.uint64) << np.uint64(8)) | np.arange(200, dtype=np.uint64)
     edges = np.array([0, 90, 93, 200])
-    l, c, r = least_windows(values, edges, width)
+    l, c, r = least_windows(values, 8, np.repeat(np.arange(3), np.diff(edges)), edges, width)
     for a, b in zip(edges[:-1], edges[1:]):
         for i in range(a, b):
             for j in range(i + width - 1, b):
