@@ -104,9 +104,9 @@ def mix_to_targets(
     """
     staging = staging or Staging(docs.sparkSession)
     known = staging.pin(features(docs), "features")
-    narrow = labels.select(F.col("doc_id").cast("bigint").alias("_id"), "domain")
+    wanted = sorted(domain for domain, weight in targets.items() if weight > 0)
+    narrow = labels.select(F.col("doc_id").cast("bigint").alias("_id"), "domain").where(F.col("domain").isin(wanted))
     model = fit_classifier(known.join(narrow, F.col("doc_id") == F.col("_id")))
-    model = [row for row in model if targets.get(row["domain"], 0) > 0]
     kept = [c for c in ("source", "lang") if c in known.columns]
     if not model:
         return known.select(
