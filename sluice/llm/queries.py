@@ -108,7 +108,99 @@ QUERIES = {
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
+def _escaped(text: str) -> str:
+    once = f"regexp_replace({text}, '<(\\\\*/?s>)', '<\\\\\\1', 'g')"
+    return f"regexp_replace({once}, '\\[(\\\\*/?INST\\])', '[\\\\\\1', 'g')"
+
+
 EXPECTED = {
+    "op5_ngram_join": """
+        WITH RECURSIVE words AS (
+          SELECT doc_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+        ), grams AS (
+          SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM words
+        ), sizes AS (
+          SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+        ), pairs AS (
+          SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM grams a JOIN grams b USING (g)
+          WHERE a.doc_id < b.doc_id GROUP BY ALL
+        ), links AS (
+          SELECT x, y FROM pairs p JOIN sizes sx ON sx.doc_id = x JOIN sizes sy ON sy.doc_id = y
+          WHERE 100 * p.n >= 85 * (sx.n + sy.n - p.n)
+        ), ways AS (
+          SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+        ), reach AS (
+          SELECT doc_id, doc_id AS other FROM documents
+          UNION SELECT doc_id, y FROM reach JOIN ways ON other = x
+        )
+        SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id FROM documents d
+        LEFT JOIN sizes s USING (doc_id)
+        JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
+    """,
+    "op8_chat_format": f"""
+        WITH turns AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT -1, 0, 'user', '{TRICKY}' UNION ALL SELECT -1, 1, 'assistant', '{TRICKY}'
+        ), sized AS (
+          SELECT *, row_number() OVER w AS place, row_number() OVER w = 1 AND role = 'system' AS is_system,
+            20 + length({_escaped('role')}) + length({_escaped('text')}) AS n
+          FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+        ), counted AS (
+          SELECT *, ceil(n / 4)::BIGINT AS tokens FROM sized
+        ), placed AS (
+          SELECT *, coalesce(max(tokens) FILTER (is_system) OVER c, 0) AS system_tokens,
+            max(n) FILTER (is_system) OVER c AS system_n,
+            sum(CASE WHEN is_system THEN 0 ELSE tokens END) OVER w AS until
+          FROM counted WINDOW c AS (PARTITION BY conv_id), w AS (PARTITION BY conv_id ORDER BY place)
+        ), started AS (
+          SELECT *, CASE WHEN is_system THEN 0 ELSE until - tokens END AS since FROM placed
+        ), spanned AS (
+          SELECT *, since // greatest(1, 2048 - 512 - system_tokens) AS span FROM started
+        ), neighbours AS (
+          SELECT *, lag(span) OVER w AS span_before, lead(span) OVER w AS span_after
+          FROM spanned WINDOW w AS (PARTITION BY conv_id ORDER BY place)
+        ), ended AS (
+          SELECT *, max(until) OVER s AS span_until, max(span_after) OVER s AS next_span
+          FROM neighbours WINDOW s AS (PARTITION BY conv_id, span)
+        )
+        SELECT conv_id, count(*) AS n_turns,
+          sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+          coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+          sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+          (sum(n) + coalesce(sum(n) FILTER (next_span > span AND span_until - since <= 512 AND NOT is_system), 0)
+            + coalesce(sum(system_n) FILTER (span > span_before), 0))::BIGINT AS formatted_chars
+        FROM ended GROUP BY conv_id
+    """,
+    "op10_suffix_dedup": """
+        WITH coded AS (
+          SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+        ), strings AS (
+          SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS s
+          FROM coded, unnest(range(0, len(h) // 2 - 399)) AS places(i)
+        ), repeated AS (
+          SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY s) AS n FROM strings) WHERE n > 1
+        ), joined AS (
+          SELECT *, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400, true) AS begins FROM repeated
+        ), numbered AS (
+          SELECT *, count(*) FILTER (begins) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM joined
+        ), spans AS (
+          SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM numbered GROUP BY doc_id, span
+        ), sums AS (
+          SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS b FROM spans GROUP BY doc_id
+        ), pieces AS (
+          SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans
+          UNION ALL SELECT doc_id, coalesce(b, 0), len(h) // 2 FROM coded LEFT JOIN sums USING (doc_id)
+        ), kept AS (
+          SELECT doc_id, sha256(unhex(string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a))) AS kept_sha256
+          FROM pieces JOIN coded USING (doc_id) GROUP BY doc_id
+        )
+        SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+          coalesce(n_spans, 0) AS n_spans, kept_sha256
+        FROM coded LEFT JOIN sums USING (doc_id) JOIN kept USING (doc_id)
+    """,
     "op6_exact_dedup": """
         WITH texts AS (
           SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS same FROM documents
