@@ -217,7 +217,7 @@ class Merges:
         self._tables = (tokens, Lookup(18))
 
     def encode_alike(self, words: list[bytes]) -> list[list[int]]:
-        """The tokens of words of one length, at most SIDE_BY_SIDE bytes."""
+        """The tokens of words of one length, at most SIDE_BY_SIDE bytes; -1 fills up in front."""
         if self._tables is None or self._tables[1].n > MOST_PAIRS:
             self._prepare()
         tokens, pairs = self._tables
@@ -248,7 +248,7 @@ class Merges:
             token = np.where(place > 0, last[place, every], -1)
             chains.append(token)
             place = np.where(place > 0, place - self._size_of[token], 0)
-        return [[t for t in row if t >= 0] for row in np.stack(chains[::-1], 1).tolist()]
+        return np.stack(chains[::-1], 1).tolist()
 
     def _chain(self, last: list[int], base: int, end: int) -> list[tuple[int, int]]:
         """(end, token) from `base` to `end`."""
@@ -300,7 +300,8 @@ class Codec:
         self._blank = regex.compile(r"\p{White_Space}")
         found = "|".join(regex.escape(s) for s in sorted(self.added, key=len, reverse=True))
         self._special = regex.compile(f"({found})") if found else None
-        self._decimal = {i: b"%d," % i for i in self.merges.bytes}
+        # Ids with their commas; -1 is the last one, which is empty.
+        self._decimal = [b"%d," % i for i in range(max(self.merges.bytes) + 1)] + [b""]
         self._fixed = {s: b"%d," % i for s, i in self.added.items()}
         self._pieces = dict(self._fixed)
         self._ready = True
@@ -314,21 +315,20 @@ class Codec:
         for piece in pieces:
             plain = piece.isascii() or self._newer.isdisjoint(piece)
             stretches[piece] = (self._split if plain else self._split_newer).findall(piece)
-        by_size: dict[int, list[bytes]] = {}
-        known: dict[bytes, bytes] = {}
-        for word in {w for own in stretches.values() for w in own}:
+        by_size: dict[int, tuple[list[str], list[bytes]]] = {}
+        for word in set().union(*stretches.values()):
             data = word.encode()
-            by_size.setdefault(len(data), []).append(data)
-        decimal = self._decimal
-        for size, words in by_size.items():
-            if size <= SIDE_BY_SIDE:
-                ids = self.merges.encode_alike(words)
-            else:
-                ids = map(self.merges.encode, words)
-            for word, own in zip(words, ids):
-                known[word] = b"".join([decimal[t] for t in own])
+            words, coded = by_size.setdefault(len(data), ([], []))
+            words.append(word)
+            coded.append(data)
+        known: dict[str, bytes] = {}
+        decimal = self._decimal.__getitem__
+        for size, (words, coded) in by_size.items():
+            ids = self.merges.encode_alike(coded) if size <= SIDE_BY_SIDE else map(self.merges.encode, coded)
+            known.update(zip(words, [b"".join(map(decimal, own)) for own in ids]))
+        get = known.__getitem__
         for piece, own in stretches.items():
-            self._pieces[piece] = b"".join([known[w.encode()] for w in own])
+            self._pieces[piece] = get(own[0]) if len(own) == 1 else b"".join(map(get, own))
 
     def _borders(self, text: str) -> list[str]:
         """The text cut before every space that a word follows: always a border."""
@@ -354,7 +354,7 @@ class Codec:
             while last < len(texts_) and (last == first or size + len(texts_[last]) <= BLOCK_CHARS):
                 size += len(texts_[last])
                 last += 1
-            cut = [list(self._cut(text)) for text in texts_[first:last]]
+            cut = [self._cut(text) for text in texts_[first:last]]
             if len(self._pieces) > CACHED_PIECES:
                 self._pieces = dict(self._fixed)
             fresh: set[str] = set()
@@ -372,13 +372,14 @@ class Codec:
     def encode(self, text: str) -> bytes:
         return next(self.encode_all([text]))
 
-    def _cut(self, text: str) -> Iterator[str]:
+    def _cut(self, text: str) -> list[str]:
         """The pieces of a text; special tokens are pieces that are always known."""
-        for part in self._special.split(text) if self._special else [text]:
-            if part in self.added:
-                yield part
-            elif part:
-                yield from self._borders(part)
+        if not self._special or not self._special.search(text):
+            return self._borders(text) if text else []
+        pieces = []
+        for part in self._special.split(text):
+            pieces += [part] if part in self.added else self._borders(part) if part else []
+        return pieces
 
     def decode(self, ids: bytes) -> Iterator[str]:
         """The text of decimal ids joined by commas, piece by piece."""

@@ -57,7 +57,8 @@ def test_long_stretches_need_constant_memory(codec):
     data = ("ainotehsr" * 2000).encode()
     assert list(merges.encode(data)) == list(merges.encode(data[: len(data)]))
     short = data[:31]
-    assert merges.encode_alike([short, short[::-1]]) == [list(merges.encode(short)), list(merges.encode(short[::-1]))]
+    alike = [[t for t in ids if t >= 0] for ids in merges.encode_alike([short, short[::-1]])]
+    assert alike == [list(merges.encode(short)), list(merges.encode(short[::-1]))]
 
 
 def test_text_machine_holds_back_unfinished_characters():
