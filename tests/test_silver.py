@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from sluice.plans.specs import SPECS
 from tests.helpers import texts, values
 
 SF = "/root/testdata/sf0.001"
+NOW = datetime(2024, 5, 6)
 SILVER_ROWS = {
     "customers": 148,
     "products": 197,
@@ -127,3 +130,17 @@ def test_orders_and_customers(spark, staging):
         ("lost", "invalid_status"),
         ("shipped", "orphan_customer"),
     ]
+
+
+def test_decided_rows_are_read_back(tables, capsys):
+    """Silver, quarantine and quality neither parse nor shuffle the rows again."""
+    for name in TABLES:
+        classified = tables.classified(name)
+        for df in (classified.silver(), classified.quarantine()):
+            df.explain()
+            plan = capsys.readouterr().out
+            assert "Exchange" not in plan and plan.count("FileScan parquet") == 1
+        counted = classified.quality(NOW).select("check_name", "column", "records_checked", "records_failed")
+        expected = [(c.check_name, c.column, classified.counts["checked"], classified.counts[f"failed_{i}"])
+                    for i, c in enumerate(classified.checks())]
+        assert sorted(map(tuple, counted.collect())) == sorted(expected)
