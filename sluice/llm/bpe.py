@@ -108,14 +108,13 @@ class Merges:
         # Tokens that their own bytes are encoded to; only these can occur in encodings.
         self.own = {i for b, i in ids.items() if self._apply(b) == [i]}
         self.lookahead = self._lookahead(pairs) + self.longest
-        # Every tail of such a token: its id if it is one itself, else -1.
-        self.tails = {b[k:]: -1 for b, i in ids.items() if i in self.own for k in range(len(b))}
-        self.tails |= {b: i for b, i in ids.items() if i in self.own}
+        self.merged.clear()
+        self._tails: dict[bytes, int] = {}
         self._stays: dict[tuple[int, int], bool] = {}
         self._tables = None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_stays": {}, "_tables": None}
+        return self.__dict__ | {"_tails": {}, "_stays": {}, "_tables": None}
 
     def _apply(self, data: bytes) -> list[int]:
         """Merging by rank, as the list is defined; used for single tokens."""
@@ -172,7 +171,11 @@ class Merges:
 
     def encode(self, data: bytes) -> Iterator[int]:
         """The tokens of one stretch, each as soon as no later byte can change it."""
-        tail, known, size = self.tails.get, self._stays.get, self.sizes.__getitem__
+        if not self._tails:
+            # Every tail of a token that can occur: its id if it is one itself, else -1.
+            self._tails = {b[k:]: -1 for b, i in self.ids.items() if i in self.own for k in range(len(b))}
+            self._tails |= {b: i for b, i in self.ids.items() if i in self.own}
+        tail, known, size = self._tails.get, self._stays.get, self.sizes.__getitem__
         last = [0]  # last[i]: last token before position base + i
         base = 0
         for end in range(1, len(data) + 1):
