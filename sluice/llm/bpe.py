@@ -21,12 +21,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+import pickle
 from collections.abc import Iterable, Iterator
 from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 from sluice.llm.common import byte_codes, texts
@@ -438,10 +440,13 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     repeated rows give repeated results, other columns are ignored, an empty table gives
     none, and nothing is shuffled.
     """
-    codec = docs.sparkSession.sparkContext.broadcast(load(tokenizer))
+    # Broadcast as bytes that carry the code along: workers need not know this module.
+    sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(load(tokenizer)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec.value  # a worker that is used again keeps the caches
+        if not hasattr(sent, "codec"):  # a worker that is used again keeps it and its caches
+            sent.codec = pickle.loads(sent.value)
+        own = sent.codec
         for batch in batches:
             rows = []
             listed = batch.column("text").to_pylist()

@@ -129,7 +129,7 @@ def _with_cell(books) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                cell = books.value.cells(matrix(batch.column("vector")))
+                cell = Codebooks(*books.value).cells(matrix(batch.column("vector")))
                 yield batch.append_column("cell", pa.array(cell.astype(np.int32)))
 
     return run
@@ -166,7 +166,7 @@ def _ask(books, candidates: int, shard_of: Callable) -> Callable:
     """For every query and shard that it visits one row with the cells."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = books.value
+        own = Codebooks(*books.value)
         for batch in batches:
             for k, (rep, query) in enumerate(zip(batch.column("rep").to_pylist(), matrix(batch.column("vector")))):
                 shards: dict[int, list[int]] = {}
@@ -281,7 +281,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, staging: Staging | N
     centroids = int(np.clip(2 ** round(np.log2(max(total / PER_CELL, 1)) / 2), 1, MOST_CENTROIDS))
     half = (width + 1) // 2
     books = Codebooks(kmeans(sample[:, :half], centroids), kmeans(sample[:, half:], centroids))
-    shared = spark.sparkContext.broadcast(books)
+    # Arrays are broadcast: workers need not know this module to read them.
+    shared = spark.sparkContext.broadcast((books.first, books.second))
     placed = staging.pin(
         entries.select("rep", "ids", "vector").mapInArrow(
             _with_cell(shared), "rep bigint, ids array<bigint>, vector array<double>, cell int"
@@ -292,7 +293,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, staging: Staging | N
     books.counts = np.zeros(len(books.first) * len(books.second), np.int64)
     for row in cell_rows:
         books.counts[row.cell] = row["count"]
-    shared = spark.sparkContext.broadcast(books)
+    shared = spark.sparkContext.broadcast((books.first, books.second, books.counts))
 
     asked = valid.where(is_query)
     queries = staging.pin(asked.groupBy("vector").agg(F.min("vec_id").alias("rep")), "queries")

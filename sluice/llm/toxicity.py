@@ -21,7 +21,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.common import blocks, text_bytes, texts
@@ -269,6 +270,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     return Model(log_ratios(cell, toxic, ordinary), _fit_curve(sums))
 
 
+def _sent(spark: SparkSession, model: Model | None) -> Broadcast:
+    """The model's arrays, broadcast: workers need not know this module to read them."""
+    return spark.sparkContext.broadcast((model.ratios, model.weights) if model else ())
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, score, predicted.
 
@@ -279,15 +285,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     as empty. Without labelled text of both classes every score is 0. An empty table gives
     no rows, other columns are ignored.
     """
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    model = _sent(docs.sparkSession, train(docs, labels))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(*model.value) if model.value else None
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             scores = [np.zeros(0)]
             for a, b in blocks(offsets):
                 part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                own = model.value
                 scores.append(own.score(*judged(part, at, own.ratios)) if own else np.zeros(b - a))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(np.concatenate(scores))],
@@ -301,10 +307,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs` whose text is not predicted toxic, with all their columns."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    model = _sent(docs.sparkSession, train(docs, labels))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = model.value
+        own = Model(*model.value) if model.value else None
         for batch in batches:
             if own:
                 data, offsets = text_bytes(batch.column("text").fill_null(""))
