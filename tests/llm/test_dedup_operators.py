@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from sluice.llm.compact_windows import least_windows, repeated_passages
+from sluice.llm.compact_windows import least_windows, passages, repeated_passages
 from sluice.llm.components import components
 from sluice.llm.exact_dedup import exact_groups, first_copies
 from sluice.llm.ngram_join import first_of_groups, ngram_links
@@ -189,6 +189,32 @@ def test_repeated_passages(spark):
     assert {r.first_doc for i in (42, 43, 44) for r in found[i]} == {42}
 
 
+@pytest.mark.parametrize("n_words", [50, 51, 52, 54, 60])
+def test_short_passages_with_an_edit_at_each_place(n_words):
+    """Found exactly if two stretches of the width are alike enough."""
+    width, rng = 46, np.random.default_rng(n_words)
+
+    def alike(one, two):
+        for i in range(len(one) - width + 1):
+            x = set(one[i : i + width].tolist())
+            for j in range(len(two) - width + 1):
+                both = len(x & set(two[j : j + width].tolist()))
+                if both >= 0.8 * (2 * width - both):
+                    return True
+        return False
+
+    for place in range(n_words):
+        one = rng.integers(0, 1 << 32, 40 + n_words - 4 + 40, dtype=np.uint32)
+        two = rng.integers(0, 1 << 32, 30 + n_words - 4 + 50, dtype=np.uint32)
+        kept = np.array([not i <= place < i + 5 for i in range(n_words - 4)])
+        two[30 : 30 + n_words - 4][kept] = one[40 : 40 + n_words - 4][kept]
+        found = passages(one, two, width, 0.8)
+        assert bool(found) >= alike(one, two), place
+        for a, b, x, y, value in found:
+            both = len(set(one[a:b].tolist()) & set(two[x:y].tolist()))
+            assert min(b - a, y - x) >= width and value == both / (b - a + y - x - both) >= 0.8
+
+
 def test_repeated_passages_of_awkward_rows(spark):
     assert {r.doc_id for r in repeated_passages(awkward(spark)).collect()} == {5, 6}
     assert repeated_passages(empty(spark)).collect() == []
