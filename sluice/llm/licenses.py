@@ -51,7 +51,7 @@ PERMISSIVE = frozenset(
 _KEEP = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
-_EXPRESSION = re.compile(r"[ \t]*:[ \t]*([^\r\n]{0,1000})")
+_EXPRESSION = re.compile(r"[ \t]*:[ \t]*([^\r\n]*)")
 _TOKEN = re.compile(r"\s*(\(|\)|[A-Za-z0-9.+:_-]+)")
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
@@ -64,18 +64,28 @@ class Licence:
     parts: tuple[Licence, ...] = ()
 
     def leaves(self) -> set[str]:
-        if not self.parts:
-            return {self.name}
-        kept = self.parts[:1] if self.name == "with" else self.parts
-        return set().union(*(p.leaves() for p in kept))
+        return {p.name for p in self._all() if not p.parts}
 
     def permitted(self, allowed: Collection[str]) -> bool:
         """`or` leaves the choice, `and` demands both, an exception only adds rights."""
-        if not self.parts:
-            return self.name.removesuffix("+") in allowed
-        if self.name == "with":
-            return self.parts[0].permitted(allowed)
-        return (any if self.name == "or" else all)([p.permitted(allowed) for p in self.parts])
+        known: dict[int, bool] = {}
+        for p in reversed(self._all()):
+            if not p.parts:
+                known[id(p)] = p.name.removesuffix("+") in allowed
+            elif p.name == "with":
+                known[id(p)] = known[id(p.parts[0])]
+            else:
+                known[id(p)] = (any if p.name == "or" else all)([known[id(q)] for q in p.parts])
+        return known[id(self)]
+
+    def _all(self) -> list[Licence]:
+        """This and its parts, exceptions apart, each before its own ones; no recursion, as expressions may be long."""
+        found, waiting = [], [self]
+        while waiting:
+            found.append(waiting.pop())
+            parts = found[-1].parts
+            waiting += parts[:1] if found[-1].name == "with" else parts
+        return found
 
 
 def parse_expression(text: str) -> Licence | None:
@@ -86,7 +96,7 @@ def parse_expression(text: str) -> Licence | None:
     """
     output: list[Licence] = []
     waiting: list[str] = []
-    place, operand_next = 0, True
+    place, operand_next, depth = 0, True, 0
 
     def reduce() -> bool:
         if len(output) < 2:
@@ -102,6 +112,7 @@ def parse_expression(text: str) -> Licence | None:
                 return None
             if token == "(":
                 waiting.append(token)
+                depth += 1
             else:
                 output.append(Licence(token))
                 operand_next = False
@@ -111,11 +122,12 @@ def parse_expression(text: str) -> Licence | None:
                     return None
             waiting.append(token)
             operand_next = True
-        elif token == ")" and "(" in waiting:
+        elif token == ")" and depth:
             while waiting[-1] != "(":
                 if not reduce():
                     return None
             waiting.pop()
+            depth -= 1
         else:
             break  # an operand after an operand, or a parenthesis that was not opened
         place = match.end()

@@ -134,6 +134,20 @@ def test_tags_add_labels(spark):
     assert row.labels == "gpl-2.0-only,mit" and row.expressions == ["MIT OR GPL-2.0-only"] and row.permitted
 
 
+@pytest.mark.parametrize("sign", ["AND", "OR"])
+def test_long_license_expressions_are_read_to_their_end(spark, sign):
+    names = [f"LicenseRef-{k}" for k in range(3000)]
+    flat, nested = f" {sign} ".join([*names, "MIT"]), "(" * 3000 + f" {sign} ".join(["ISC", *(f"{n})" for n in names)])
+    docs = documents(spark, [f"SPDX-License-Identifier: {e}\nmore" for e in (flat, nested)])
+    for row, own, text in zip(scan_sorted(docs), ("mit", "isc"), (flat, nested)):
+        assert set(row.labels.split(",")) == {own, *(n.lower() for n in names)}
+        assert row.expressions == [text] and row.permitted == (sign == "OR")
+
+
+def scan_sorted(docs):
+    return sorted(licenses.scan_licenses(docs).collect(), key=lambda r: r.doc_id)
+
+
 def toxic_corpus(spark):
     pick = random.Random(4)
     calm = ["river", "stone", "garden", "paper", "window", "summer", "music", "letter"]
