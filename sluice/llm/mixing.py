@@ -2,19 +2,22 @@
 
 A naive Bayes classifier, fitted on the labelled documents, gives each document a
 probability for each domain. Each document then gets a nonnegative rate (how often it is
-to be read), such that the expected tokens of every domain meet its target. The rates
-minimise weighted squared deviations by projected gradient steps: a step moves every rate
-against the deviations of the domains it belongs to, and not below its floor.
+to be read), such that the expected tokens of every domain meet its target. Of the rates
+that do, the ones nearest to 1 are taken: max(floor, 1 - sum of probability * multiplier),
+with one multiplier a domain. Newton steps on the multipliers, projected by the floor,
+go on until the optimum is reached. Where targets cannot be met the weighted squared
+deviations are smallest, and the deviation that is left is returned.
 
-A rate is decided by the few numbers per domain that each step sums up over all documents.
+A rate is decided by the few multipliers, and each step needs a few sums over all documents.
 So a step is one aggregation over a narrow stored table, without a shuffle of rows or any
-state per document.
+state per document, and the plan does not grow with the steps.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +26,10 @@ from sluice.sources.staging import Staging
 # Short words and signs whose frequency tells languages and junk apart.
 CUES = (" the ", " of ", " la ", " les ", " et ", " und ", " der ", " que ", " el ", "!!", "|", "%", "$", "\n")
 VARIANCE_FLOOR = 1e-4
-STEPS = 14
-CLOSE_ENOUGH = 1e-3
+# Share of the deviations' weight that the distance of rates from 1 has.
+EASE = 1e-6
+OPTIMAL = 1e-5  # of a target, or of all tokens where there is none
+STEPS = 200  # beyond, an error
 
 
 def features(docs: DataFrame) -> DataFrame:
@@ -90,25 +95,27 @@ def mix_to_targets(
     staging: Staging | None = None,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, source and lang if there, domain (the likeliest),
-    membership (its probability), tokens, rate, copies.
+    membership (its probability), tokens, rate, copies, deviation (the largest distance of a
+    domain's expected tokens from its target, as part of it; the same in all rows).
 
     `labels` has (doc_id, domain); rows of unknown documents are ignored. `targets` are
     weights of domains; the ones without labelled documents are left out and the others
-    normalised. The mixture is to have `scale` times the tokens of `docs`; None takes the
+    normalised. Labelled domains without a target are told apart too and have weight 0;
+    their deviation is a part of the whole mixture. The mixture is to have `scale` times the tokens of `docs`; None takes the
     smallest number with which no domain shrinks. Rates never go below `least_rate`.
     `copies` rounds the rate up or down by a hash of the doc_id, in proportion.
 
     Null texts are empty and have no tokens; repeated rows are documents of their own that
-    share their copies' rounding. Without any labelled document every rate is 1, with
-    domain and membership null. An empty table gives no rows. Other columns are ignored.
+    share their copies' rounding. Without any labelled document of a target every rate is
+    1, with domain, membership and deviation null. An empty table gives no rows. Other columns are ignored.
     """
     staging = staging or Staging(docs.sparkSession)
     known = staging.pin(features(docs), "features")
     wanted = sorted(domain for domain, weight in targets.items() if weight > 0)
-    narrow = labels.select(F.col("doc_id").cast("bigint").alias("_id"), "domain").where(F.col("domain").isin(wanted))
+    narrow = labels.select(F.col("doc_id").cast("bigint").alias("_id"), "domain")
     model = fit_classifier(known.join(narrow, F.col("doc_id") == F.col("_id")))
     kept = [c for c in ("source", "lang") if c in known.columns]
-    if not model:
+    if not any(row["domain"] in wanted for row in model):
         return known.select(
             "doc_id",
             *kept,
@@ -117,6 +124,7 @@ def mix_to_targets(
             "tokens",
             F.lit(1.0).alias("rate"),
             F.lit(1).cast("bigint").alias("copies"),
+            F.lit(None).cast("double").alias("deviation"),
         )
     domains = [row["domain"] for row in model]
     shares = [f"p{k}" for k in range(len(domains))]
@@ -126,25 +134,56 @@ def mix_to_targets(
     share = [(F.col("_likely")[k] / F.col("_total")).alias(p) for k, p in enumerate(shares)]
     members = staging.pin(found.select("doc_id", *kept, "tokens", *share), "members")
 
-    def expected(rate: Column) -> list[float]:
-        sums = members.agg(*(F.sum(rate * F.col("tokens") * F.col(p)).alias(p) for p in shares)).first()
-        return [float(v or 0.0) for v in sums]
-
-    rate = F.lit(1.0)
-    mass = expected(rate)
-    weights = [targets[d] / sum(targets[d] for d in domains) for d in domains]
-    size = sum(mass) * (scale or 0.0)
+    pairs = [(i, j) for i in range(len(shares)) for j in range(i + 1)]
+    floor = float(least_rate)
+
+    def wanted_rate(multipliers: np.ndarray) -> Column:
+        return F.lit(1.0) - reduce(lambda a, b: a + b, (F.col(p) * F.lit(float(m)) for p, m in zip(shares, multipliers)))
+
+    def sums(multipliers: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Expected tokens of the domains, how they move with the multipliers, and the part of the cost."""
+        rate, free = F.greatest(F.lit(floor), F.col("_rate")), F.when(F.col("_rate") > floor, F.col("tokens")).otherwise(0)
+        cost = F.sum(F.col("tokens") * (rate * F.col("_rate") - rate * rate / 2))
+        row = members.withColumn("_rate", wanted_rate(multipliers)).agg(
+            *(F.sum(rate * F.col("tokens") * F.col(p)) for p in shares),
+            *(F.sum(free * F.col(shares[i]) * F.col(shares[j])) for i, j in pairs),
+            cost,
+        ).first()
+        found = [float(v or 0.0) for v in row]
+        moves = np.zeros((len(shares), len(shares)))
+        for (i, j), v in zip(pairs, found[len(shares) :]):
+            moves[i, j] = moves[j, i] = v
+        return np.array(found[: len(shares)]), moves, found[-1]
+
+    mass = np.array([float(v or 0.0) for v in members.agg(*(F.sum(F.col("tokens") * F.col(p)) for p in shares)).first()])
+    total = sum(targets[d] for d in domains if d in wanted)
+    weights = np.array([targets[d] / total if d in wanted else 0.0 for d in domains])
+    size = mass.sum() * (scale or 0.0)
     if scale is None:
-        size = max(m / w for m, w in zip(mass, weights))
-    goals = [size * w for w in weights]
-    sums = mass
+        size = max(m / w for m, w in zip(mass, weights) if w)
+    goals = size * weights
+    units = np.where(goals > 0, goals, max(size, 1.0))
+    ease = EASE * np.maximum(mass, 1e-9 * mass.sum() + 1e-9)
+    at = np.zeros(len(shares))
+    reached, moves, cost = sums(at)
     for _ in range(STEPS):
-        off = [(s - g) / m if m else 0.0 for s, g, m in zip(sums, goals, mass)]
-        if max(abs(o) * m / g for o, m, g in zip(off, mass, goals)) < CLOSE_ENOUGH:
+        slope = reached - goals - ease * at
+        if np.abs(slope / units).max() <= OPTIMAL:
             break
-        step = reduce(lambda a, b: a + b, (F.col(p) * F.lit(o) for p, o in zip(shares, off)))
-        rate = F.greatest(F.lit(float(least_rate)), rate - step)
-        sums = expected(rate)
+        step = np.linalg.solve(moves + np.diag(ease), slope)
+        height, part = cost + goals @ at + ease @ at**2 / 2, 1.0
+        while True:  # half the way until the cost falls as it should
+            place = at + part * step
+            tried = sums(place)
+            fall = height - (tried[2] + goals @ place + ease @ place**2 / 2)
+            if fall >= 1e-4 * part * (slope @ step) - 1e-12 * abs(height) or part < 1e-9:
+                break
+            part /= 2
+        at, (reached, moves, cost) = place, tried
+    else:
+        raise RuntimeError(f"the rates did not settle in {STEPS} steps")
+    rate = F.greatest(F.lit(floor), wanted_rate(at))
+    deviation = float(np.abs((reached - goals) / units).max())
     best = F.greatest(*shares) if len(shares) > 1 else F.col(shares[0])
     domain = F.coalesce(*(F.when(F.col(p) == F.col("membership"), F.lit(d)) for p, d in zip(shares, domains)))
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
@@ -159,6 +198,7 @@ def mix_to_targets(
             "tokens",
             "rate",
             F.floor(F.col("rate") + chance).cast("bigint").alias("copies"),
+            F.lit(deviation).alias("deviation"),
         )
     )
 

@@ -148,6 +148,26 @@ def test_least_rate_keeps_every_document(spark):
     assert out.count() == plan.agg(F.sum("copies")).first()[0] > 600
 
 
+def test_overlapping_domains_meet_their_targets(spark):
+    """Two domains that share their words, and a third one that is not wanted."""
+    pick = random.Random(12)
+    kinds = {"a": [3, 2, 0], "b": [2, 3, 0], "c": [0, 0, 1]}
+    rows = []
+    for i in range(900):
+        lang = pick.choice(list(kinds))
+        words = pick.choices([" the ", " of ", " und "], kinds[lang], k=12)
+        rows.append((i, "x".join(words), lang, "s", 0))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    labels = docs.where("doc_id % 2 = 0").selectExpr("doc_id", "lang AS domain")
+    found = mix_to_targets(docs, labels, {"a": 0.6, "b": 0.4}).collect()
+    assert {r.deviation for r in found} == {found[0].deviation} and found[0].deviation < 1e-3
+    assert all(r.domain == "c" and r.rate < 0.01 for r in found if r.asDict()["lang"] == "c")
+    total = sum(r.tokens for r in found)
+    assert abs(sum(r.tokens * r.rate for r in found) / total - 1) < 1e-3
+    (far,) = {r.deviation for r in mix_to_targets(docs, labels, {"a": 0.6, "b": 0.4}, least_rate=1.0).collect()}
+    assert far > 0.1
+
+
 def test_mixing_awkward_rows(spark):
     docs = awkward(spark)
     labels = spark.createDataFrame([(3, "a"), (5, "b"), (7, "a"), (77, "b"), (None, "a"), (8, None)], "doc_id bigint, domain string")
