@@ -6,18 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.bpe import encode_documents
+from sluice.llm.centroids import cluster_vectors
 from sluice.llm.chat import conversation_digests, format_conversations
 from sluice.llm.common import table
 from sluice.llm.compact_windows import repeated_passages
 from sluice.llm.exact_dedup import exact_groups
+from sluice.llm.filter_audit import audit_filters
 from sluice.llm.licenses import scan_licenses
 from sluice.llm.mixing import mix_to_targets
 from sluice.llm.multi_index import nearest
 from sluice.llm.ngram_join import ngram_links
 from sluice.llm.suffix_dedup import remove_repeats
+from sluice.llm.token_counts import count_tokens
 from sluice.llm.toxicity import score_toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,9 +96,24 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         size.alias("n_removed"),
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        (size > 0).alias("found"),
     )
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_nearest": op2_nearest,
@@ -106,13 +125,40 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_mixing": op9_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_token_counts": op11_token_counts,
+    "op12_centroids": op12_centroids,
+    "op13_filter_audit": op13_filter_audit,
 }
 
+
 def _escaped(text: str) -> str:
     once = f"regexp_replace({text}, '<(\\\\*/?s>)', '<\\\\\\1', 'g')"
     return f"regexp_replace({once}, '\\[(\\\\*/?INST\\])', '[\\\\\\1', 'g')"
 
 
+def _rounds(n: int) -> str:
+    """Assignments a0 to an, and between them the moved centroids c1 to cn."""
+    parts = []
+    for i in range(n + 1):
+        parts.append(f"""
+        a{i} AS MATERIALIZED (
+          SELECT r, c, d FROM (
+            SELECT *, row_number() OVER (PARTITION BY r ORDER BY d, c) AS place FROM (
+              SELECT r, c, list_sum(list_transform(list_zip(k.v, m.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+              FROM kept k, c{i} m)) WHERE place = 1
+        )""")
+        if i < n:
+            parts.append(f"""
+        s{i} AS MATERIALIZED (
+          SELECT c, j, sum(v[j])::BIGINT AS s, count(*) AS n
+          FROM a{i} JOIN kept USING (r), unnest(range(1, 65)) AS places(j) GROUP BY c, j
+        ), c{i + 1} AS MATERIALIZED (
+          SELECT c, coalesce(moved, v) AS v FROM c{i} LEFT JOIN (
+            SELECT c, list((s - (s % n + n) % n) // n ORDER BY j) AS moved FROM s{i} GROUP BY c) USING (c)
+        )""")
+    return ",".join(parts)
+
+
 EXPECTED = {
     "op5_ngram_join": """
         WITH RECURSIVE words AS (
@@ -198,9 +244,66 @@ EXPECTED = {
           FROM pieces JOIN coded USING (doc_id) GROUP BY doc_id
         )
         SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
-          coalesce(n_spans, 0) AS n_spans, kept_sha256
+          coalesce(n_spans, 0) AS n_spans, kept_sha256, coalesce(n_removed, 0) > 0 AS found
         FROM coded LEFT JOIN sums USING (doc_id) JOIN kept USING (doc_id)
     """,
+    "op12_centroids": f"""
+        WITH kept AS MATERIALIZED (
+          SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+          FROM embeddings WHERE len(embedding) = 64
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), c0 AS MATERIALIZED (
+          SELECT row_number() OVER (ORDER BY h) - 1 AS c, v FROM (
+            SELECT v, sha256('2:' || vec_id::VARCHAR) AS h FROM kept ORDER BY h LIMIT 40)
+        ),{_rounds(5)}
+        SELECT vec_id, c::INTEGER AS cluster, d AS distance,
+          sum(d) OVER (PARTITION BY c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+          sha256(array_to_string(c5.v, ',')) AS centroid_sha256
+        FROM a5 JOIN kept USING (r) JOIN c5 USING (c)
+    """,
+    "op13_filter_audit": """
+        WITH words AS (
+          SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+            list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+          FROM documents
+        ), judged AS (
+          SELECT part, doc_id, (CASE WHEN len(w) < 200 THEN 'A' ELSE '' END)
+            || (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END)
+            || (CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t) THEN 'C' ELSE '' END)
+            || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END)
+            || (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS f
+          FROM words
+        ), marked AS (
+          SELECT part, f, d.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good,
+            d.doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) AS toxic FROM judged d
+        ), counts AS (
+          SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+          FROM marked GROUP BY part, f
+        ), letters AS (
+          SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l
+        ), orders AS (
+          SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+          FROM letters a, letters b, letters c, letters d, letters e
+          WHERE b.l <> a.l AND c.l NOT IN (a.l, b.l) AND d.l NOT IN (a.l, b.l, c.l) AND e.l NOT IN (a.l, b.l, c.l, d.l)
+        ), steps AS (
+          SELECT filter_order, step::INTEGER AS step, filter_order[step] AS own, filter_order[1:step - 1] AS earlier
+          FROM orders, unnest(range(1, 6)) AS s(step)
+        ), each AS (
+          SELECT *, contains(f, own) AS fails, translate(f, earlier, '') <> f AS gone FROM counts, steps
+        ), sums AS (
+          SELECT part, filter_order, step, own,
+            coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT AS kept,
+            coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed,
+            coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant,
+            coalesce(sum(n) FILTER (f = own), 0)::BIGINT AS unique_fails,
+            coalesce(sum(good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost,
+            coalesce(sum(toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost
+          FROM each GROUP BY part, filter_order, step, own
+        )
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+          sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley
+        FROM sums
+    """,
     "op6_exact_dedup": """
         WITH texts AS (
           SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS same FROM documents
