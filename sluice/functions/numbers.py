@@ -60,20 +60,20 @@ def money_parts(amount: Column, name: str) -> list[Column]:
     ]
 
 
-def add_parts(name: str) -> list[Column]:
-    """Aggregates that combine the parts of many groups under the same names."""
-    return [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in PARTS]
+def parts_where(name: str, condition: Column | None = None) -> dict[str, Column]:
+    """The parts of a group by name, or nothing where the condition does not hold."""
+    parts = {f"{name}_{part}": F.col(f"{name}_{part}") for part in PARTS}
+    return parts if condition is None else {n: F.when(condition, part) for n, part in parts.items()}
 
 
-def money_total(name: str, condition: Column | None = None) -> Column:
+def money_total(name: str) -> Column:
     """Aggregate the parts of many groups to one double; 0 if there is nothing to add.
 
     Raises if there are amounts that were too large to be added exactly.
     """
 
     def total(part: str) -> Column:
-        value = F.col(f"{name}_{part}") if condition is None else F.when(condition, F.col(f"{name}_{part}"))
-        return F.coalesce(F.sum(value).cast("double"), F.lit(0.0))
+        return F.coalesce(F.sum(f"{name}_{part}").cast("double"), F.lit(0.0))
 
     unfit = total("unfit").cast("bigint")
     problem = F.concat(unfit.cast("string"), F.lit(f" amounts of {name} are too large to be added"))
