@@ -12,6 +12,7 @@ INT = r"'^[+-]?[0-9]+\z'"
 FLOAT = r"'^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\z'"
 DATETIME = r"'^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z'"
 
+# What is accepted as a category, an order's status, a kind of payment.
 CATEGORIES = (
     "('automotive','beauty','books','clothing','electronics','food','furniture','garden',"
     "'health','home_appliances','music','office_supplies','pet_shop','sports','toys')"

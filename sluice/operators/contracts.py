@@ -109,18 +109,21 @@ def repeated_rows(df: DataFrame, column: str) -> DataFrame:
     return per_value.where("n > 1").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failed"))
 
 
+def unique_violations(df: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
+    """Violations of unique columns, each by grouping that one column."""
+    result = df.sparkSession.createDataFrame([], VIOLATIONS_SCHEMA)
+    for field in fields:
+        repeated = repeated_rows(df, field.name).select(
+            F.lit(field.name).alias("column"), F.lit("unique").alias("check"), "failed"
+        )
+        result = result.unionByName(repeated)
+    return result.where("failed > 0")
+
+
 def uniqueness_violations(df: DataFrame, contract: Contract) -> DataFrame:
-    """Violations of unique columns only, each by grouping that one column."""
-    spark = df.sparkSession
-    result = spark.createDataFrame([], VIOLATIONS_SCHEMA)
+    """Violations of the contract's unique columns only, as far as they are there."""
     usable = usable_columns(df, contract)
-    for field in contract.fields:
-        if field.unique and field.name in usable:
-            repeated = repeated_rows(df, field.name).select(
-                F.lit(field.name).alias("column"), F.lit("unique").alias("check"), "failed"
-            )
-            result = result.unionByName(repeated)
-    return result.where("failed > 0")
+    return unique_violations(df, tuple(f for f in contract.fields if f.unique and f.name in usable))
 
 
 def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:

@@ -45,6 +45,23 @@ def flag_orphans(
     return found.select(*names, F.coalesce("orphan", F.lit(False)).alias(flag))
 
 
+def flag_members(
+    rows: DataFrame, fk: str, parent_keys: DataFrame, flag: str, unique: bool = False
+) -> DataFrame:
+    """The same as `flag_orphans` for parent keys of a checked size: no row is shuffled.
+
+    `unique` says that no parent key is there twice.
+
+    The keys themselves are broadcast, once each. A bitmap of them would be smaller, but
+    two keys can share a bit: it can prove that a parent is missing, never that it is there.
+    """
+    names = rows.columns
+    parent = parent_keys.toDF("_parent").where(F.col("_parent").isNotNull())
+    parent = parent if unique else parent.distinct()
+    found = rows.join(F.broadcast(parent), F.col(fk) == F.col("_parent"), "left")
+    return found.select(*names, (F.col(fk).isNotNull() & F.col("_parent").isNull()).alias(flag))
+
+
 def _reversed(value: Column, dtype: T.DataType) -> Column | None:
     """A value that sorts the other way round, where the type has one."""
     if isinstance(dtype, T.TimestampNTZType):

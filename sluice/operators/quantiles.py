@@ -9,17 +9,17 @@ from __future__ import annotations
 
 from math import floor
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.quality import count_true
+from sluice.sources.staging import Staging
 
 # Sketch ranks are off by at most 1 in ACCURACY. Brackets reach MARGIN to both sides, and
 # ten times as far after each miss; from 1 on they span all values.
 ACCURACY = 10_000
 MARGIN = 4 / ACCURACY
-STRETCHES = 1000  # that a bracket's values are dealt into
 
 
 def _brackets(
@@ -43,16 +43,21 @@ def _brackets(
     return sizes, bounds
 
 
-def _ends(spark: SparkSession, bounds: dict[tuple[str, int], tuple[float, float]]) -> DataFrame:
-    """(column, quantile, least, most) of every bracket: a few rows."""
-    rows = [(c, i, low, high) for (c, i), (low, high) in bounds.items()]
-    return spark.createDataFrame(rows, "column string, quantile int, least double, most double")
+def deal_by_rank(values: DataFrame, order: list[str], staging: Staging) -> DataFrame:
+    """The rows in stretches that follow `order`, numbered in `stretch`, of about equal size.
+
+    The borders are quantiles of a sample of the rows themselves, so that stretches are even
+    however the values are spread. Stored, because another sample has other borders.
+    """
+    dealt = values.repartitionByRange(*order).withColumn("stretch", F.spark_partition_id())
+    return staging.pin(dealt, "stretches")
 
 
 def _ranked(
     df: DataFrame,
     bounds: dict[tuple[str, int], tuple[float, float]],
     positions: dict[tuple[str, int], int],
+    staging: Staging,
 ) -> dict[tuple[str, int], tuple[float | None, float | None]]:
     """Per (column, quantile) the values at its position and at the next one."""
     below = df.agg(
@@ -81,18 +86,16 @@ def _ranked(
         .groupBy("column", "quantile", "position", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # Values are dealt out by range and counted within their stretch; what the stretches
-    # before hold is a short table. So no task needs all values of a bracket.
-    stretch = F.width_bucket(F.col("value"), F.col("least"), F.col("most"), F.lit(STRETCHES))
-    ends = F.broadcast(_ends(df.sparkSession, bounds))
-    dealt = values.join(ends, ["column", "quantile"]).withColumn("stretch", F.coalesce(stretch, F.lit(0)))
+    dealt = deal_by_rank(values, ["column", "quantile", "value"], staging)
+    # A value's rank is counted within its stretch; what the stretches before hold is a
+    # short table. So no task needs all values of a bracket.
     per_stretch = dealt.groupBy("column", "quantile", "stretch").agg(F.sum("n").alias("held"))
     in_order = Window.partitionBy("column", "quantile").orderBy("stretch")
     before = per_stretch.withColumn("before", F.sum("held").over(in_order) - F.col("held")).drop("held")
     upto = Window.partitionBy("column", "quantile", "stretch").orderBy("value")
     end = F.sum("n").over(upto) + F.col("before")
     placed = (
-        dealt.join(before, ["column", "quantile", "stretch"])
+        dealt.join(F.broadcast(before), ["column", "quantile", "stretch"])
         .withColumn("end", end)
         .withColumn("start", F.col("end") - F.col("n"))
     )
@@ -107,12 +110,15 @@ def _ranked(
     return {(r["column"], r["quantile"]): (r["low"], r["high"]) for r in picked.collect()}
 
 
-def quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float]]:
+def quantiles(
+    df: DataFrame, columns: list[str], probabilities: list[float], staging: Staging | None = None
+) -> dict[str, list[float]]:
     """Exact quantiles of numeric columns, interpolated linearly between neighbours.
 
     Reads `df` several times, so pass a stored or staged one. What reaches the driver
     is a few numbers per quantile. A column without values has no quantiles.
     """
+    staging = staging or Staging(df.sparkSession)
     result: dict[tuple[str, int], float] = {}
     open_, margin = columns, MARGIN
     while open_:
@@ -120,7 +126,7 @@ def quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) ->
         bounds = {key: b for key, b in bounds.items() if key not in result}
         exact = {(c, i): (sizes[c] - 1) * probabilities[i] for c, i in bounds}
         positions = {key: floor(p) for key, p in exact.items()}
-        for key, (low, high) in _ranked(df, bounds, positions).items() if bounds else ():
+        for key, (low, high) in _ranked(df, bounds, positions, staging).items() if bounds else ():
             fraction = exact[key] - positions[key]
             if low is not None and (fraction == 0 or high is not None):
                 result[key] = low if fraction == 0 else low + (high - low) * fraction
@@ -132,9 +138,9 @@ def quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) ->
     }
 
 
-def cut_points(df: DataFrame, columns: list[str], bins: int) -> DataFrame:
+def cut_points(df: DataFrame, columns: list[str], bins: int, staging: Staging | None = None) -> DataFrame:
     """The inner bin edges of each column as a one-row frame of arrays."""
-    edges = quantiles(df, columns, [i / bins for i in range(1, bins)])
+    edges = quantiles(df, columns, [i / bins for i in range(1, bins)], staging)
     schema = T.StructType([T.StructField(c, T.ArrayType(T.DoubleType())) for c in columns])
     return df.sparkSession.createDataFrame([tuple(edges[c] for c in columns)], schema)
 

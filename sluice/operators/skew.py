@@ -26,8 +26,8 @@ def hot_keys(rows: DataFrame, key: str) -> DataFrame:
     return mark_hot(counts, rows.count()).where("hot").select(key)
 
 
-def _fits_broadcast(table: DataFrame) -> bool:
-    """Whether the optimizer will broadcast a stored table because of its size."""
+def fits_broadcast(table: DataFrame) -> bool:
+    """Whether a stored table is so small, by the size of its files, that it is broadcast."""
     size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     return size <= limit
@@ -57,7 +57,7 @@ def lookup(
     nothing; otherwise see `split_lookup`. Only the plan differs: both take the same rows
     and give the same answer. What is added to rows that are not `active` is undefined.
     """
-    if not _fits_broadcast(table):
+    if not fits_broadcast(table):
         hot, cold = table.where("hot"), table.where("NOT hot")
         return split_lookup(rows, key, hot, cold, values, spread_by, active, null_safe)
     side = table.select(

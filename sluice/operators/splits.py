@@ -14,7 +14,8 @@ from pyspark.sql.types import StructField, StructType
 
 from sluice.config import ROW_ORDER
 from sluice.functions import cleaning as c
-from sluice.operators.keys import flag_duplicates, flag_orphans, staged_orphans, staged_repeats
+from sluice.operators.keys import flag_duplicates, flag_members, flag_orphans, staged_orphans, staged_repeats
+from sluice.operators.skew import fits_broadcast
 from sluice.sources.staging import Staging
 
 Split = tuple[DataFrame, DataFrame]
@@ -53,8 +54,11 @@ def split_orphans(
     if not isinstance(valid_keys, DataFrame):
         kind = StructType([StructField(fk, df.schema[fk].dataType)])
         valid_keys = df.sparkSession.createDataFrame([(key,) for key in valid_keys], kind)
-    verdicts = staged_orphans(df.select(fk), fk, valid_keys, df.count(), staging)
-    flagged = flag_orphans(df, fk, verdicts, "_orphan", spread_by=df.columns)
+    if fits_broadcast(valid_keys):
+        flagged = flag_members(df, fk, valid_keys, "_orphan")
+    else:
+        verdicts = staged_orphans(df.select(fk), fk, valid_keys, df.count(), staging)
+        flagged = flag_orphans(df, fk, verdicts, "_orphan", spread_by=df.columns)
     return flagged.where("NOT _orphan").drop("_orphan"), flagged.where("_orphan").drop("_orphan")
 
 

@@ -14,7 +14,7 @@ from sluice.plans.gold import build_gold
 from sluice.plans.silver import build_silver
 from sluice.session import build_session
 from sluice.sources.staging import Staging, together
-from sluice.sources.versions import finish, new_version
+from sluice.sources.versions import Lease, finish, new_version
 from sluice.sources.warehouse import attach, write_checks
 
 log = logging.getLogger("sluice")
@@ -39,13 +39,14 @@ def run(spark: SparkSession, root: str, now: datetime | None = None, prefix: str
     now = now or datetime.now()
     staging_root = f"{root.rstrip('/')}/_staging"
     version = new_version(root)
-    together(lambda name: build_bronze(spark, root, name, now, version), TABLES)
-    log.info("bronze done: %d tables", len(TABLES))
-    with Staging(spark, staging_root) as staging:
-        build_all_silver(spark, version, staging, now)
-        log.info("gold done: %d tables", len(build_gold(spark, version, staging)))
-    write_checks(spark, version)
-    finish(spark, root, version)
+    with Lease(spark, version):
+        together(lambda name: build_bronze(spark, root, name, now, version), TABLES)
+        log.info("bronze done: %d tables", len(TABLES))
+        with Staging(spark, staging_root) as staging:
+            build_all_silver(spark, version, staging, now)
+            log.info("gold done: %d tables", len(build_gold(spark, version, staging)))
+        write_checks(spark, version)
+        finish(spark, root, version)
     log.info("published: %d tables", len(attach(spark, root, prefix)))
 
 

@@ -6,7 +6,7 @@ its removal, if any. Silver, quarantine and quality are projections of that one
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 from functools import reduce
 from operator import or_
@@ -18,8 +18,16 @@ from pyspark.sql import functions as F
 from sluice.config import ROW_ORDER
 from sluice.functions import cleaning as c
 from sluice.operators.contracts import usable_columns
-from sluice.operators.keys import flag_duplicates, flag_orphans, staged_orphans, staged_repeats
-from sluice.operators.quality import Check, check_counts, count_true, measure
+from sluice.operators.keys import (
+    flag_duplicates,
+    flag_members,
+    flag_orphans,
+    repeat_counts,
+    repeat_winners,
+    staged_orphans,
+)
+from sluice.operators.quality import Check, check_counts, count_all, count_true, measure
+from sluice.operators.skew import fits_broadcast
 from sluice.plans.specs import (
     DATETIME,
     FLOAT,
@@ -34,6 +42,7 @@ from sluice.plans.specs import (
 from sluice.sources.staging import Staging, together
 
 REASON = "_reason"
+REJECT_REASON = "reject_reason"
 
 
 def _lost(column: str) -> str:
@@ -122,6 +131,7 @@ class Judged:
     rows: DataFrame
     columns: list[str]
     total: int
+    survivors: int
 
     def keys(self) -> DataFrame:
         """The keys Silver will have: deduplication keeps one row of every key."""
@@ -129,28 +139,46 @@ class Judged:
 
 
 def apply_rules(
-    bronze: DataFrame, spec: TableSpec, parent_keys: dict[str, DataFrame], staging: Staging
+    bronze: DataFrame,
+    spec: TableSpec,
+    parent_keys: dict[str, DataFrame],
+    staging: Staging,
+    unique_parents: bool = False,
 ) -> Judged:
     """Clean every row of a Bronze table and find the first rule it breaks.
 
     `bronze` must carry the unique `_ord` column that Bronze ingestion adds.
-    `parent_keys` has a one-column frame of valid keys for each parent table.
+    `parent_keys` has a one-column frame of valid keys for each parent table;
+    `unique_parents` says that these frames have no key twice, as Silver has not.
     """
     rows = normalize(bronze, spec)
-    total = bronze.count()
+    # Parents that are small enough are joined as they are. Keys of the others are checked
+    # apart from the rows; only that needs to know the number of rows beforehand.
+    large = [rule for rule in spec.orphan_rules if not fits_broadcast(parent_keys[rule.parent])]
+    total = bronze.count() if large else 0
 
     def verdicts(rule: Orphan) -> DataFrame:
         keys = parent_keys[rule.parent]
         return staged_orphans(rows.select(rule.column), rule.column, keys, total, staging)
 
+    found = dict(zip(large, together(verdicts, large)))
     judged = rows
-    for rule, found in zip(spec.orphan_rules, together(verdicts, spec.orphan_rules)):
-        judged = flag_orphans(judged, rule.column, found, _orphan(rule.column), [ROW_ORDER])
+    for rule in spec.orphan_rules:
+        flag = _orphan(rule.column)
+        if rule in found:
+            judged = flag_orphans(judged, rule.column, found[rule], flag, [ROW_ORDER])
+        else:
+            judged = flag_members(judged, rule.column, parent_keys[rule.parent], flag, unique_parents)
     reason = F.coalesce(*(F.when(_broken(rule), F.lit(rule.reason)) for rule in spec.rules))
     columns = [name for name in bronze.columns if name != ROW_ORDER]
-    # Stored, so that rows are parsed and looked up once for all that follows.
-    stored = staging.pin(judged.withColumn(REASON, reason), f"judged-{spec.name}")
-    return Judged(spec, stored, columns, total)
+    # Stored, so that rows are parsed and looked up once for all that follows; counted
+    # in the stage that writes, where a task that runs again is not counted twice.
+    seen = Observation()
+    counted = judged.withColumn(REASON, reason).observe(
+        seen, count_all().alias("rows"), count_true(F.col(REASON).isNull()).alias("survivors")
+    )
+    stored = staging.pin(counted, f"judged-{spec.name}")
+    return Judged(spec, stored, columns, seen.get["rows"], seen.get["survivors"])
 
 
 @dataclass(frozen=True)
@@ -158,13 +186,15 @@ class Classified:
     """A table's rows with their fate; everything else is read off it lazily.
 
     `counts` has what was counted while the rows were stored: `checked` and `failed_i` of
-    the checks, `rule_i` of the contract's rules on rows that survive.
+    the checks, `rule_i` of the contract's rules on rows that survive, `silver` these rows.
+    `unique_rows` is how many of them there are if each key is on one row.
     """
 
     spec: TableSpec
     rows: DataFrame
     columns: list[str]
     counts: dict[str, int] = field(default_factory=dict)
+    unique_rows: int = 0
 
     @property
     def survives(self) -> SparkColumn:
@@ -173,30 +203,51 @@ class Classified:
     def silver(self) -> DataFrame:
         return self.rows.where(self.survives).select(*self.columns)
 
-    def quarantine(self) -> DataFrame:
-        """Removed rows with their reason, and audit copies with the value nulled in Silver.
-
-        A row can appear both ways, so it is expanded into its entries in place instead
-        of reading the table once per reason.
-        """
+    def _entries(self, rows: DataFrame, reasons: SparkColumn) -> DataFrame:
+        """A row per reason: as it is, or with the value that Silver has not, for audit copies."""
         audited = [column for column in self.spec.columns if column.accepted]
-        entries = [F.col(REASON)]
-        entries += [
-            F.when(F.col(_audit(column.name)).isNotNull(), F.lit(column.reject_reason))
-            for column in audited
-        ]
-        concerned = reduce(or_, (entry.isNotNull() for entry in entries))
-        expanded = self.rows.where(concerned).withColumn(
-            "reject_reason", F.explode(F.array_compact(F.array(*entries)))
-        )
+        expanded = rows.withColumn(REJECT_REASON, F.explode(reasons))
         original = {
             column.name: F.when(
-                F.col("reject_reason") == column.reject_reason, F.col(_audit(column.name))
+                F.col(REJECT_REASON) == column.reject_reason, F.col(_audit(column.name))
             ).otherwise(F.col(column.name))
             for column in audited
         }
         values = [original.get(name, F.col(name)).alias(name) for name in self.columns]
-        return expanded.select(*values, "reject_reason")
+        return expanded.select(*values, REJECT_REASON)
+
+    def _audits(self) -> tuple[SparkColumn, SparkColumn]:
+        """(whether a row has audit copies, their reasons)."""
+        audits = [
+            F.when(F.col(_audit(column.name)).isNotNull(), F.lit(column.reject_reason))
+            for column in self.spec.columns
+            if column.accepted
+        ]
+        if not audits:
+            return F.lit(False), F.array().cast("array<string>")
+        return reduce(or_, (audit.isNotNull() for audit in audits)), F.array_compact(F.array(*audits))
+
+    def quarantine(self) -> DataFrame:
+        """Removed rows with their reason, and audit copies with the value nulled in Silver.
+
+        A row can appear both ways, so it is expanded into its entries in place instead
+        of reading the table once per reason.
+        """
+        has_audits, audits = self._audits()
+        removed = self.rows.where(~self.survives | has_audits)
+        return self._entries(removed, F.array_compact(F.concat(F.array(F.col(REASON)), audits)))
+
+    def fates(self) -> DataFrame:
+        """Silver and quarantine under one another: Silver's rows have no `reject_reason`."""
+        has_audits, audits = self._audits()
+        own = F.array(F.col(REASON))
+        return self._entries(self.rows, F.when(has_audits, F.concat(own, audits)).otherwise(own))
+
+    def to_count(self) -> list[SparkColumn]:
+        """The aggregates that `counts` holds."""
+        rules = self.spec.contract.row_rules(usable_columns(self.silver(), self.spec.contract))
+        broken = [count_true(self.survives & b).alias(f"rule_{i}") for i, (_, _, b) in enumerate(rules)]
+        return [*check_counts(self.checks()), *broken, count_true(self.survives).alias("silver")]
 
     def checks(self) -> list[Check]:
         """The quality checks of this table, as conditions on the classified rows."""
@@ -233,33 +284,38 @@ class Classified:
         return measure(self.rows, self.checks(), executed_at)
 
 
-def drop_repeats(judged: Judged, staging: Staging) -> Classified:
-    """Add the last rule: of the surviving rows of a key, all but one are duplicates."""
+def decide(judged: Judged, staging: Staging) -> Classified:
+    """Add the last rule, not stored yet: of a key's surviving rows all but one are duplicates.
+
+    In two steps because most keys are on one row: the first shuffles nothing but keys and
+    counts, and only rows of repeated keys bring their order and position along.
+    """
     spec, rows = judged.spec, judged.rows
     survives = F.col(REASON).isNull()
     narrow = [name for name in (spec.key, spec.latest_by, ROW_ORDER) if name]
-    repeats = staged_repeats(
-        rows.where(survives).select(*narrow),
-        spec.key,
-        ROW_ORDER,
-        judged.total,
-        staging,
-        order_by=spec.latest_by,
+    keys = rows.where(survives).select(*narrow)
+    seen = Observation()
+    counted = repeat_counts(keys, spec.key, judged.total).observe(
+        seen, count_all().alias("keys"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows")
     )
-    rows = flag_duplicates(rows, spec.key, repeats, ROW_ORDER, "_duplicate", active=survives)
-    fate = F.when(F.col("_duplicate"), F.lit(spec.duplicate_reason)).otherwise(F.col(REASON))
-    decided = Classified(spec, rows.withColumn(REASON, fate), judged.columns)
-    counts = check_counts(decided.checks())
-    counts += [
-        count_true(decided.survives & broken).alias(f"rule_{i}")
-        for i, (_, _, broken) in enumerate(
-            spec.contract.row_rules(usable_columns(decided.silver(), spec.contract))
-        )
-    ]
-    # Observed in the stage that writes: a task that runs again is not counted twice.
+    repeats = staging.pin(counted, f"repeats-{spec.key}")
+    surplus = seen.get["rows"] - seen.get["keys"]
+    if surplus:
+        winners = repeat_winners(keys, spec.key, repeats, ROW_ORDER, spec.latest_by)
+        winners = staging.pin(winners, f"winners-{spec.key}")
+        rows = flag_duplicates(rows, spec.key, winners, ROW_ORDER, "_duplicate", active=survives)
+        fate = F.when(F.col("_duplicate"), F.lit(spec.duplicate_reason)).otherwise(F.col(REASON))
+        rows = rows.withColumn(REASON, fate).drop("_duplicate")
+    return Classified(spec, rows, judged.columns, unique_rows=judged.survivors - surplus)
+
+
+def drop_repeats(judged: Judged, staging: Staging) -> Classified:
+    """Decide which rows are duplicates, and store the decided rows with their counts."""
+    decided = decide(judged, staging)
     observation = Observation()
-    stored = staging.pin(decided.rows.observe(observation, *counts), f"classified-{spec.name}")
-    return Classified(spec, stored, judged.columns, observation.get)
+    observed = decided.rows.observe(observation, *decided.to_count())
+    stored = staging.pin(observed, f"classified-{judged.spec.name}")
+    return replace(decided, rows=stored, counts=observation.get)
 
 
 def classify(

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from sluice.config import BRONZE, QUALITY, QUARANTINE, SILVER, table_path
 from sluice.operators.contracts import (
     ContractError,
     contract_violations,
     shape_violations,
-    uniqueness_violations,
+    unique_violations,
 )
 from sluice.operators.quality import long_format
-from sluice.plans.classify import Classified, classify
+from sluice.plans.classify import REJECT_REASON, Classified, apply_rules, classify, decide
 from sluice.plans.specs import (
     CUSTOMERS,
     ORDER_ITEMS,
@@ -25,7 +26,10 @@ from sluice.plans.specs import (
     SPECS,
 )
 from sluice.sources.staging import Staging, together
-from sluice.sources.store import pending, read_keys, read_parquet, read_table, replace
+from sluice.sources.store import delete, exists, move_folder, pending, read_keys, read_parquet, read_table
+
+# Fixed value: the folder in which Spark puts rows whose partition column is null.
+NO_REASON = "__HIVE_DEFAULT_PARTITION__"
 
 
 def clean_customers(bronze: DataFrame, staging: Staging | None = None) -> Classified:
@@ -67,18 +71,29 @@ def clean_reviews(
     return classify(bronze, REVIEWS, parents, staging or Staging(bronze.sparkSession))
 
 
-def _gate(classified: Classified, written: DataFrame) -> None:
-    """Raise if the written rows break the contract."""
-    spec, counts = classified.spec, classified.counts
-    rules = spec.contract.row_rules(spec.contract.names)
-    found = [
-        (column, rule, counts[f"rule_{i}"])
-        for i, (column, rule, _) in enumerate(rules)
-        if counts[f"rule_{i}"]
-    ]
-    found += [tuple(row) for row in uniqueness_violations(written, spec.contract).collect()]
+def _gate(classified: Classified, counts: dict[str, int], written: DataFrame) -> None:
+    """Raise if the written rows break the contract; `counts` are those of the write.
+
+    Deduplication knows how many rows are left if every key is on one row. As long as that
+    many were written, their keys are unique and need not be looked at again.
+    """
+    contract = classified.spec.contract
+    rules = contract.row_rules(contract.names)
+    found = [(column, rule, counts[f"rule_{i}"]) for i, (column, rule, _) in enumerate(rules) if counts[f"rule_{i}"]]
+    proven = {classified.spec.key} if counts["silver"] == classified.unique_rows else set()
+    open_fields = tuple(f for f in contract.fields if f.unique and f.name not in proven)
+    if open_fields:
+        found += [tuple(row) for row in unique_violations(written, open_fields).collect()]
     if found:
-        raise ContractError(spec.name, found)
+        raise ContractError(classified.spec.name, found)
+
+
+def _write_fates(classified: Classified, path: str) -> dict[str, int]:
+    """Write Silver and quarantine in one pass, a folder per reason; return what was counted."""
+    observation = Observation()
+    counted = replace(classified, rows=classified.rows.observe(observation, *classified.to_count()))
+    counted.fates().write.mode("overwrite").partitionBy(REJECT_REASON).parquet(path)
+    return observation.get
 
 
 def build_silver(
@@ -86,37 +101,47 @@ def build_silver(
 ) -> DataFrame:
     """Bronze to Silver for one table, with its quarantine and quality files.
 
-    If the contract fails, the table's earlier files stay as they were.
+    Rows are stored twice: judged, and then by their fate. What the second write counts
+    is the table's quality and decides on its contract; if that fails, the table's earlier
+    files stay as they were. Silver's folder is moved in; rejected rows, which are few and
+    scattered over many tasks, are gathered into files of a sensible size.
     """
     spec = SPECS[name]
     bronze = read_table(spark, root, BRONZE, name)
     parents = {p: read_keys(spark, root, p, SPECS[p].key) for p in spec.parents}
-    classified = classify(bronze, spec, parents, staging)
+    classified = decide(apply_rules(bronze, spec, parents, staging, unique_parents=True), staging)
 
-    silver = classified.silver()
-    if shape_violations(silver, spec.contract):
-        found = contract_violations(silver, spec.contract).collect()
+    shape = classified.silver()
+    if shape_violations(shape, spec.contract):
+        found = contract_violations(shape, spec.contract).collect()
         raise ContractError(name, [tuple(row) for row in found])
 
     targets = {layer: table_path(root, layer, name) for layer in (SILVER, QUARANTINE, QUALITY)}
-    silver.write.mode("overwrite").parquet(pending(targets[SILVER]))
-    written = read_parquet(spark, pending(targets[SILVER]), silver.schema)
-    # Few rows scattered over many tasks: gather them into files of a sensible size.
-    rejected = classified.quarantine().hint("rebalance")
-    together(
-        lambda job: job(),
-        [
-            lambda: _gate(classified, written),
-            lambda: rejected.write.mode("overwrite").parquet(pending(targets[QUARANTINE])),
-        ],
-    )
+    fates = pending(f"{targets[SILVER]}_fates")
+    counts = _write_fates(classified, fates)
+    silver = f"{fates}/{REJECT_REASON}={NO_REASON}"
+    if not exists(spark, silver):  # no row survived
+        spark.createDataFrame([], shape.schema).write.parquet(silver)
+    _gate(classified, counts, read_parquet(spark, silver, shape.schema))
+    move_folder(spark, silver, pending(targets[SILVER]))
+    rejected = classified.fates().schema
+    jobs = [
+        lambda: read_parquet(spark, fates, rejected).hint("rebalance").write.mode("overwrite").parquet(pending(targets[QUARANTINE])),
+        lambda: _write_quality(spark, classified, counts, executed_at, pending(targets[QUALITY])),
+    ]
+    together(lambda job: job(), jobs)
+    for target in targets.values():
+        move_folder(spark, pending(target), target)
+    delete(spark, fates)
+    return read_table(spark, root, SILVER, name, shape.schema)
+
+
+def _write_quality(
+    spark: SparkSession, classified: Classified, counts: dict[str, int], executed_at: datetime, path: str
+) -> None:
     checks = classified.checks()
     names = ["checked", *(f"failed_{i}" for i in range(len(checks)))]
     schema = ", ".join(f"{n} bigint" for n in names)
-    totals = spark.createDataFrame([tuple(classified.counts[n] for n in names)], schema)
+    totals = spark.createDataFrame([tuple(counts[n] for n in names)], schema)
     quality = long_format(totals, checks, executed_at).coalesce(1)  # a dozen rows
-    quality.write.mode("overwrite").parquet(pending(targets[QUALITY]))
-
-    for target in targets.values():
-        replace(spark, pending(target), target)
-    return read_table(spark, root, SILVER, name, silver.schema)
+    quality.write.mode("overwrite").parquet(path)

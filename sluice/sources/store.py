@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -31,6 +32,30 @@ def create_file(spark: SparkSession, path: str) -> None:
     fs.create(target, True).close()
 
 
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file if there is none yet; whether this call created it.
+
+    At most one of several callers succeeds where the file system creates files atomically.
+    """
+    fs, target = _file_system(spark, path)
+    if fs.exists(target):
+        return False
+    try:
+        fs.create(target, False).close()
+    except Py4JJavaError as error:
+        if "AlreadyExists" in str(error.java_exception.getClass().getName()):
+            return False
+        raise
+    return True
+
+
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """(name, time of the last change in seconds) of what is in a folder."""
+    fs, target = _file_system(spark, path)
+    found = fs.listStatus(target) if fs.exists(target) else []
+    return [(item.getPath().getName(), item.getModificationTime() / 1000) for item in found]
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names of what is in a folder; none if there is no folder."""
     fs, target = _file_system(spark, path)
@@ -44,7 +69,7 @@ def make_temporary(spark: SparkSession, path: str) -> None:
     fs.deleteOnExit(target)
 
 
-def replace(spark: SparkSession, source: str, target: str) -> None:
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
     """Move a finished table directory to `target`, taking the old one's place."""
     fs, source_path = _file_system(spark, source)
     _, target_path = _file_system(spark, target)
@@ -63,7 +88,7 @@ def pending(path: str) -> str:
 def write_parquet(df: DataFrame, path: str) -> None:
     """Write a whole table, replacing what is there only once the write succeeded."""
     df.write.mode("overwrite").parquet(pending(path))
-    replace(df.sparkSession, pending(path), path)
+    move_folder(df.sparkSession, pending(path), path)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

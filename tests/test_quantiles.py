@@ -68,3 +68,20 @@ def test_ties_share_a_bin(spark):
     )
     # Edges 1, 1, 2.25; bins are closed on the right.
     assert {(r.x, r.up, r.down) for r in binned.collect()} == {(1.0, 1, 4), (2.0, 3, 2), (3.0, 4, 1), (4.0, 4, 1)}
+
+
+def test_stretches_are_even_for_heavy_tails(spark, monkeypatch, staging):
+    """Exponential values and a bracket over all of them, as after misses."""
+    generator = np.random.default_rng(3)
+    values = np.exp(generator.exponential(4, 40_000))
+    df = staging.pin(spark.createDataFrame([(float(x),) for x in values], "x double").repartition(6), "values")
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")  # so little would be one stretch
+    try:
+        dealt = q.deal_by_rank(df, ["x"], staging)
+    finally:
+        spark.conf.set(merging, "true")
+    sizes = [r["count"] for r in dealt.groupBy("stretch").count().collect()]
+    assert len(sizes) >= 2 and max(sizes) <= 3 * sum(sizes) / len(sizes)
+    monkeypatch.setattr(q, "MARGIN", 1.0)
+    assert q.quantiles(df, ["x"], QUARTILES, staging)["x"] == pytest.approx(list(np.quantile(values, QUARTILES)), rel=1e-12)
