@@ -74,6 +74,13 @@ def _reversed(value: Column, dtype: T.DataType) -> Column | None:
         return -value
     if isinstance(dtype, T.IntegralType):
         return -value.cast("decimal(20,0)")
+    if isinstance(dtype, T.BooleanType):
+        return ~value
+    if isinstance(dtype, T.BinaryType) or dtype == T.StringType():
+        # Text is in the order of its bytes: so are their hex digits, turned round they are
+        # not. The end sorts after all digits, since what a text begins with comes before it.
+        digits = F.translate(F.hex(value), "0123456789ABCDEF", "FEDCBA9876543210")
+        return F.concat(digits, F.lit("G"))
     return None
 
 
@@ -110,7 +117,7 @@ def repeat_winners(
     value = F.col(order_by)
     rank = _reversed(value, rows.schema[order_by].dataType) if descending else value
     if rank is None:
-        # Types without a reverse, such as text: keep only rows with the greatest value.
+        # Types without a reverse, such as arrays: keep only rows with the greatest value.
         greatest = found.groupBy(key).agg(hot, F.max(order_by).alias("_best"))
         ties = _matching(found, key, greatest, "_best", row_order)
         found = ties.where(value.eqNullSafe(F.col("_best"))).drop("_best")

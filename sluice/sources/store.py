@@ -62,6 +62,13 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [item.getPath().getName() for item in fs.listStatus(target)] if fs.exists(target) else []
 
 
+def file_sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(path, bytes) of a file, or of the files directly in a folder."""
+    fs, target = _file_system(spark, path)
+    found = fs.listStatus(target) if fs.exists(target) else []
+    return [(item.getPath().toString(), item.getLen()) for item in found if item.isFile()]
+
+
 def make_temporary(spark: SparkSession, path: str) -> None:
     """Create a folder that is removed when the application ends."""
     fs, target = _file_system(spark, path)
@@ -69,16 +76,39 @@ def make_temporary(spark: SparkSession, path: str) -> None:
     fs.deleteOnExit(target)
 
 
-def move_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Move a finished table directory to `target`, taking the old one's place."""
+def _aside(path: str) -> str:
+    """Where a table waits while another one takes its place."""
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    return f"{folder}/_old_{name}"
+
+
+def standing(spark: SparkSession, path: str) -> str:
+    """Where a table's files are: its own path, or where they wait during or after a broken swap."""
+    return _aside(path) if not exists(spark, path) and exists(spark, _aside(path)) else path
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
     fs, source_path = _file_system(spark, source)
     _, target_path = _file_system(spark, target)
-    fs.mkdirs(target_path.getParent())
-    fs.delete(target_path, True)
     if not fs.rename(source_path, target_path):
         raise OSError(f"could not move {source} to {target}")
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Move a finished table directory to `target`, taking the old one's place.
+
+    The old one steps aside and goes at the end. Wherever this stops, one whole table is
+    left, and `standing` says where.
+    """
+    fs, target_path = _file_system(spark, target)
+    fs.mkdirs(target_path.getParent())
+    if fs.exists(target_path):
+        delete(spark, _aside(target))
+        _rename(spark, target, _aside(target))
+    _rename(spark, source, target)
+    delete(spark, _aside(target))
+
+
 def pending(path: str) -> str:
     """Where a table is written before it takes its place; readers skip `_` folders."""
     folder, name = path.rstrip("/").rsplit("/", 1)
@@ -100,7 +130,7 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
 def read_table(
     spark: SparkSession, root: str, layer: str, name: str, schema: StructType | None = None
 ) -> DataFrame:
-    return read_parquet(spark, table_path(root, layer, name), schema)
+    return read_parquet(spark, standing(spark, table_path(root, layer, name)), schema)
 
 
 def read_keys(spark: SparkSession, root: str, name: str, key: str) -> DataFrame:

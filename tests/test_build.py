@@ -217,3 +217,54 @@ def test_a_table_without_rejects_has_an_empty_quarantine(spark, small_root, stag
     quarantined = read_table(spark, small_root, QUARANTINE, "customers")
     assert quarantined.count() == 0
     assert quarantined.columns[-1] == "reject_reason"
+
+
+@pytest.mark.parametrize("rows", [[], [["", "Bo", "b@x.com", "Rio", "rj", "2024-01-01 00:00:00"]]])
+def test_a_table_of_which_nothing_is_left(spark, small_root, staging, rows):
+    land(small_root, "customers", [RAW["customers"][0], *rows])
+    build_upto(spark, small_root, "customers", staging)
+    silver = read_table(spark, small_root, SILVER, "customers")
+    assert silver.count() == 0 and "reject_reason" not in silver.columns
+    assert read_table(spark, small_root, QUARANTINE, "customers").count() == len(rows)
+    quality = read_table(spark, small_root, QUALITY, "customers")
+    assert {r.records_checked for r in quality.collect()} == {len(rows)}
+    assert not [n for n in list_names(spark, f"{small_root}/{SILVER}") if n.startswith("_")]
+
+
+def test_line_breaks_in_any_table(spark, small_root, staging):
+    header, row = RAW["customers"]
+    land(small_root, "customers", [header, [row[0], "Ana\nMaria", *row[2:]]])
+    build_bronze(spark, small_root, "customers", NOW, multi_line=True)
+    silver = build_silver(spark, small_root, "customers", staging, NOW)
+    assert [r.customer_name for r in silver.collect()] == ["Ana\nMaria"]
+
+
+def test_large_files_that_cannot_be_split_are_named(spark, small_root, monkeypatch):
+    monkeypatch.setattr("sluice.plans.bronze.LARGEST_UNSPLIT", 10)
+    with pytest.warns(UserWarning, match="reviews.csv"):
+        ingest(spark, small_root, "reviews", NOW)
+
+
+def test_a_broken_swap_leaves_one_whole_table(spark, small_root, monkeypatch):
+    """Stopped after the old table stepped aside: readers still find it, the next write repairs it."""
+    from sluice.sources import store
+
+    build_bronze(spark, small_root, "customers", NOW)
+    before = sorted(map(repr, read_table(spark, small_root, "bronze", "customers").drop(ROW_ORDER).collect()))
+    rename, calls = store._rename, []
+
+    def stops(spark, source, target):
+        calls.append(source)
+        if len(calls) == 2:
+            raise OSError("stopped")
+        rename(spark, source, target)
+
+    monkeypatch.setattr(store, "_rename", stops)
+    with pytest.raises(OSError, match="stopped"):
+        build_bronze(spark, small_root, "customers", NOW)
+    monkeypatch.undo()
+    again = lambda: sorted(map(repr, read_table(spark, small_root, "bronze", "customers").drop(ROW_ORDER).collect()))
+    assert again() == before
+    build_bronze(spark, small_root, "customers", NOW)
+    assert again() == before
+    assert list_names(spark, f"{small_root}/bronze") == ["customers"]

@@ -144,3 +144,30 @@ def test_decided_rows_are_read_back(tables, capsys):
         expected = [(c.check_name, c.column, classified.counts["checked"], classified.counts[f"failed_{i}"])
                     for i, c in enumerate(classified.checks())]
         assert sorted(map(tuple, counted.collect())) == sorted(expected)
+
+
+def test_uniqueness_is_looked_at_unless_it_is_proven(spark):
+    spec = SPECS["customers"]
+    schema = spec.contract.schema
+    empty = spark.createDataFrame([], schema)
+    twice = spark.createDataFrame([(1,), (2,)], "i int").select(
+        *(F.lit("C1" if f.name == spec.key else None).cast(f.dataType).alias(f.name) for f in schema)
+    )
+    n_rules = len(spec.contract.row_rules(spec.contract.names))
+    counts = {f"rule_{i}": 0 for i in range(n_rules)} | {"silver": 2}
+    proven = s.Classified(spec, empty, [], unique_rows=2)
+    s._gate(proven, counts, twice)  # not read again
+    with pytest.raises(s.ContractError) as error:
+        s._gate(s.Classified(spec, empty, [], unique_rows=1), counts, twice)
+    assert error.value.violations == [(spec.key, "unique", 2)]
+    with pytest.raises(s.ContractError):
+        s._gate(proven, counts | {"rule_0": 3}, twice)
+
+
+@pytest.mark.parametrize("name", ["customers", "order_items"])
+def test_written_fates_are_silver_and_quarantine(tables, name):
+    classified = tables.classified(name)
+    fates = classified.fates()
+    for kept, wanted in ((fates.where("reject_reason IS NULL").drop("reject_reason"), classified.silver()),
+                         (fates.where("reject_reason IS NOT NULL"), classified.quarantine())):
+        assert sorted(map(repr, kept.collect())) == sorted(map(repr, wanted.collect()))

@@ -162,3 +162,27 @@ def test_hot_rows_are_spread(spark, staging, shuffled_joins):
     assert len(sizes) == 4
     assert max(r["count"] for r in sizes) < 4000
     assert kept.where("k = 'HOT'").count() == 0
+
+
+@pytest.mark.parametrize("kind", ["string", "binary", "boolean"])
+def test_latest_by_text_in_one_pass(spark, staging, kind, monkeypatch):
+    """The greatest text, its beginnings after it, nulls last, the first row of equal ones."""
+    from sluice.operators import keys
+
+    passes, matching = [], keys._matching
+    monkeypatch.setattr(keys, "_matching", lambda *a: passes.append(1) or matching(*a))
+    words = [None, "", "a", "ab", "abc", "é", "z", "\x00", "a\x00", "漢", "ab"]
+    if kind == "boolean":
+        words = [None, "true", "false", "true"]
+    data = [(f"K{k}", w, 100 * k + i) for k in range(4) for i, w in enumerate(words[: len(words) - k])]
+    df = spark.createDataFrame(data, "key string, word string, _ord bigint").withColumn("word", F.col("word").cast(kind))
+    kept, _ = splits.deduplicate_by_key(df, "key", order_by="word", staging=staging)
+    wanted = {}
+    for row in df.collect():
+        value = bytes(row.word) if kind == "binary" and row.word is not None else row.word
+        value = value.encode() if isinstance(value, str) else value
+        best = wanted.get(row.key)
+        if best is None or value is not None and (best[0] is None or value > best[0]):
+            wanted[row.key] = (value, row._ord)
+    assert {r.key: r._ord for r in kept.collect()} == {k: o for k, (_, o) in wanted.items()}
+    assert len(passes) == 1
