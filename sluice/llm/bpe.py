@@ -22,8 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import pickle
-from collections.abc import Iterable, Iterator
-from unicodedata import category
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -265,8 +264,49 @@ class Merges:
         return chain[::-1]
 
 
-def _non_ascii() -> str:
-    return "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]))
+BEYOND_ASCII = "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]))
+RUN = 256  # characters of one class that are asked about together
+
+
+def _class_of(asked: list[str], begins: Callable[[str], set[int]]) -> Iterator[str]:
+    """L, N, P (neither) or ? (mixed) for every run of characters, as the library parts them.
+
+    Between a letter and a digit: letters join the one, numbers the other.
+    """
+    starts = begins("".join(f"a{run}1\n" for run in asked))
+    at = 0
+    for run in asked:
+        inside = any(at + k in starts for k in range(2, len(run) + 1))
+        first, digit = at + 1 in starts, at + 1 + len(run) in starts
+        yield "?" if inside else "L" if not first and digit else "N" if first and not digit else "P" if first else "?"
+        at += len(run) + 3
+
+
+def odd_characters(spec: dict) -> dict[str, str]:
+    """Characters that the tokenizers library classes in another way than the regex module.
+
+    Their Unicode tables are of different versions. L and N: letters and numbers only there;
+    "not L" and "not N": only here. The library is asked about every character beyond ASCII,
+    in runs that are of one class here, and one by one where a run is not of that class.
+    """
+    from tokenizers import Tokenizer
+
+    split = Tokenizer.from_str(json.dumps(spec)).pre_tokenizer.pre_tokenize_str
+    begins = lambda text: {start for _, (start, _) in split(text)}
+    kinds = regex.compile(r"(?<L>\p{L}+)|(?<N>\p{N}+)|(?<P>[^\p{L}\p{N}\p{White_Space}]+)")
+    runs = [
+        (m.lastgroup, m.group()[k : k + RUN])
+        for m in kinds.finditer(BEYOND_ASCII)
+        for k in range(0, len(m.group()), RUN)
+    ]
+    unclear = [(ours, run) for (ours, run), theirs in zip(runs, _class_of([r for _, r in runs], begins)) if ours != theirs]
+    odd: dict[str, list[str]] = {"L": [], "N": [], "not L": [], "not N": []}
+    singles = [(ours, c) for ours, run in unclear for c in run]
+    for (ours, c), theirs in zip(singles, _class_of([c for _, c in singles], begins)):
+        if ours != theirs:
+            odd.get(theirs, []).append(c)
+            odd.get(f"not {ours}", []).append(c)
+    return {kind: "".join(chars) for kind, chars in odd.items()}
 
 
 class Codec:
@@ -283,22 +323,19 @@ class Codec:
         # Decimal ids as they stand in the digest, and the bytes that they mean.
         self.bytes = {str(i).encode(): b for i, b in self.merges.bytes.items()}
         self.bytes |= {str(i).encode(): s.encode() for s, i in self.added.items()}
+        self.odd = odd_characters(spec)
         self._ready = False
 
     def _prepare(self) -> None:
         self._split = regex.compile(SPLIT)
-        # Characters newer than the Unicode version of the tokenizers (and of Python's
-        # tables) are neither letters nor numbers there.
-        newer = "".join(
-            chr(c) for c in map(ord, regex.findall(r"[\p{L}\p{N}]", _non_ascii())) if category(chr(c)) == "Cn"
-        )
-        self._newer = frozenset(newer)
-        old = {kind: rf"[\p{{{kind}}}--[{newer}]]" for kind in "LN"}
-        rest = rf"[[\P{{White_Space}}--[\p{{L}}\p{{N}}]]||[{newer}]]"
+        # The pattern for text with characters that the library classes in another way.
+        self._newer = frozenset("".join(self.odd.values()))
+        own = {kind: self._class(kind) for kind in "LN"}
+        rest = rf"[\P{{White_Space}}--{own['L']}--{own['N']}]"
         self._split_newer = regex.compile(
             SPLIT.replace(r"[^\p{White_Space}\p{L}\p{N}]", rest)
-            .replace(r" ?\p{L}+", f" ?{old['L']}+")
-            .replace(r" ?\p{N}+", f" ?{old['N']}+"),
+            .replace(r" ?\p{L}+", f" ?{own['L']}+")
+            .replace(r" ?\p{N}+", f" ?{own['N']}+"),
             regex.V1,
         )
         self._irregular = regex.compile(r" (?:\p{White_Space}|$)")
@@ -311,8 +348,14 @@ class Codec:
         self._pieces = dict(self._fixed)
         self._ready = True
 
+    def _class(self, kind: str) -> str:
+        """The library's letters or numbers: the regex module's, less what it lacks, and what it adds."""
+        less, more = self.odd[f"not {kind}"], self.odd[kind]
+        base = rf"[\p{{{kind}}}--[{less}]]" if less else rf"\p{{{kind}}}"
+        return f"[{base}||[{more}]]" if more else f"[{base}]"
+
     def __getstate__(self) -> dict:
-        return {"merges": self.merges, "added": self.added, "bytes": self.bytes, "_ready": False}
+        return {"merges": self.merges, "added": self.added, "bytes": self.bytes, "odd": self.odd, "_ready": False}
 
     def _learn(self, pieces: set[str]) -> None:
         """Put the ids, each with a comma, of pieces that end at borders into the cache."""
