@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.skew import mark_hot, split_lookup
+from sluice.operators.skew import lookup, mark_hot, split_lookup
 from sluice.sources.staging import Staging
 
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -27,7 +27,7 @@ def exact_groups(docs: DataFrame, staging: Staging | None = None, hash_digits: i
     The document with the smallest id of equal texts stays (`kept`); `keep_id` names it.
     Null text counts as empty; empty texts are equal to one another. Rows that repeat a
     doc_id with the same text belong to one group; every row with its smallest id is kept.
-    A null doc_id is never the smallest of several. Other columns are ignored. An empty
+    A null doc_id is never the smallest of several; without any other id it is the kept one. Other columns are ignored. An empty
     table gives no rows. Fewer `hash_digits` only serve to test collisions.
     """
     staging = staging or Staging(docs.sparkSession)
@@ -62,12 +62,40 @@ def exact_groups(docs: DataFrame, staging: Staging | None = None, hash_digits: i
         "doc_id",
         "keep_id",
         F.col("n_rows").alias("group_size"),
-        (F.col("doc_id") == F.col("keep_id")).alias("kept"),
+        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         "text_sha256",
     )
 
 
 def first_copies(docs: DataFrame, staging: Staging | None = None) -> DataFrame:
-    """The documents that stay, with all their columns: the smallest id of equal texts."""
-    gone = exact_groups(docs, staging).where("NOT kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
+    """The rows of `docs` that stay, with all their columns: one of each group of equal texts.
+
+    It is one with the smallest doc_id. Rows are told apart by id and text: a row with a text
+    of its own stays, also if its id is on other rows. Of rows that repeat both, one
+    stays; which of them is open where they differ in other columns. A null doc_id is
+    larger than any other. Null texts are empty. An empty table gives no rows, and
+    columns of any name may be there.
+    """
+    staging = staging or Staging(docs.sparkSession)
+    groups = (
+        exact_groups(docs, staging)
+        .where("group_size > 1")
+        .groupBy("text_sha256")
+        .agg(F.min("keep_id").alias("keep_id"), F.count(F.when(F.col("kept"), 1)).alias("n_kept"), F.max("group_size").alias("n_rows"))
+    )
+    groups = staging.pin(mark_hot(groups, docs.count()), "copies")
+    # A row is carried as one value, so that its columns cannot clash with those of the lookup.
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col("doc_id").cast("bigint").alias("id"),
+        F.sha2(normalized(F.col("text")), 256).alias("text_sha256"),
+    )
+    found = lookup(rows, "text_sha256", groups, ["keep_id", "n_kept"], spread_by=["id"])
+    first = found.where(~F.col("_found") | F.col("id").eqNullSafe(F.col("keep_id")))
+    if not groups.where("n_kept > 1").limit(1).count():
+        return first.select("row.*")
+    several = F.col("_found") & (F.col("n_kept") > 1)
+    # Combined where they are read, so that rows repeated very often are no large group.
+    return first.where(~several).select("row.*").unionAll(
+        first.where(several).groupBy("text_sha256").agg(F.any_value("row").alias("row")).select("row.*")
+    )

@@ -101,7 +101,8 @@ def mix_to_targets(
     `labels` has (doc_id, domain); rows of unknown documents are ignored. `targets` are
     weights of domains; the ones without labelled documents are left out and the others
     normalised. Labelled domains without a target are told apart too and have weight 0;
-    their deviation is a part of the whole mixture. The mixture is to have `scale` times the tokens of `docs`; None takes the
+    their deviation is a part of the whole mixture. After STEPS steps at the latest the
+    rates reached are returned, and `deviation` says how near they came. The mixture is to have `scale` times the tokens of `docs`; None takes the
     smallest number with which no domain shrinks. Rates never go below `least_rate`.
     `copies` rounds the rate up or down by a hash of the doc_id, in proportion.
 
@@ -179,9 +180,9 @@ def mix_to_targets(
             if fall >= 1e-4 * part * (slope @ step) - 1e-12 * abs(height) or part < 1e-9:
                 break
             part /= 2
+        if fall < 0:  # no step lowers the cost any more: this is as near as doubles come
+            break
         at, (reached, moves, cost) = place, tried
-    else:
-        raise RuntimeError(f"the rates did not settle in {STEPS} steps")
     rate = F.greatest(F.lit(floor), wanted_rate(at))
     deviation = float(np.abs((reached - goals) / units).max())
     best = F.greatest(*shares) if len(shares) > 1 else F.col(shares[0])
@@ -204,9 +205,14 @@ def mix_to_targets(
 
 
 def mixed(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """`docs`, each as often as the `copies` of its doc_id in `plan` say; same columns."""
-    times = plan.groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
-    joined = docs.join(times.where("_copies > 0"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))).select(
-        *docs.columns
-    )
+    """`docs`, each as often as the `copies` of its doc_id in `plan` say; same columns.
+
+    Rows that repeat a doc_id, the null one too, share the largest number of copies of that
+    id in the plan. Ids that the plan lacks, or gives 0 copies, go. Null texts and empty
+    tables need no care here, and columns of any name may be there.
+    """
+    times = plan.groupBy(F.col("doc_id").alias("known")).agg(F.max("copies").cast("int").alias("copies"))
+    # A row is carried as one value, so that its columns cannot clash with the plan's.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("id"))
+    joined = rows.join(times.where("copies > 0"), F.col("id").eqNullSafe(F.col("known")))
+    return joined.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")

@@ -359,7 +359,14 @@ def ngram_links(docs: DataFrame, size: int = 4, percent: int = 85, staging: Stag
 
 
 def first_of_groups(docs: DataFrame, size: int = 5, percent: int = 80, staging: Staging | None = None) -> DataFrame:
-    """The rows of `docs` that stay, with all columns: of linked documents the smallest doc_id."""
+    """The rows of `docs` that stay, with all columns: of linked documents the smallest doc_id.
+
+    Rows that repeat a doc_id are one document and stay or go together. Rows without
+    doc_id have no place in an order of ids and stay. Null texts are empty and linked with
+    nothing. An empty table gives no rows, and columns of any name may be there.
+    """
     found = ngram_links(docs, size, percent, staging).where("component_id != doc_id")
-    gone = found.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
+    gone = found.select(F.col("doc_id").alias("gone")).distinct()
+    # A row is carried as one value, so that its columns cannot clash with the other side's.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("id"))
+    return rows.join(gone, F.col("id") == F.col("gone"), "left_anti").select("row.*")

@@ -218,3 +218,39 @@ def test_short_passages_with_an_edit_at_each_place(n_words):
 def test_repeated_passages_of_awkward_rows(spark):
     assert {r.doc_id for r in repeated_passages(awkward(spark)).collect()} == {5, 6}
     assert repeated_passages(empty(spark)).collect() == []
+
+
+CLASHING = ("_gone", "_copies", "gone", "row", "id", "known", "copies", "keep_id", "n_kept", "_found", "_key", "text_sha256", "col")
+
+
+def with_clashes(df):
+    return df.selectExpr("*", *(f"'clash' AS {name}" for name in CLASHING))
+
+
+def test_first_copies_are_told_apart_by_id_and_text(spark):
+    rows = [
+        (1, "a a"), (2, "a a"), (2, "unique text"), (3, "c"), (3, "c"), (None, "c"), (None, "n"), (None, "n"),
+        (4, None), (5, ""), (6, " "), (7, "only"), (None, "alone"),
+    ]
+    docs = with_clashes(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    kept = first_copies(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    wanted = [(1, "a a"), (2, "unique text"), (3, "c"), (None, "n"), (4, None), (6, " "), (7, "only"), (None, "alone")]
+    assert got == sorted(wanted, key=repr)
+    assert first_copies(docs.limit(0)).collect() == []
+
+
+def test_kept_is_never_null(spark):
+    rows = exact_groups(spark.createDataFrame([(None, "x"), (None, "x"), (1, "y"), (None, "y")], "doc_id bigint, text string"))
+    assert sorted((str(r.doc_id), r.kept) for r in rows.collect()) == [("1", True), ("None", False), ("None", True), ("None", True)]
+
+
+def test_first_of_groups_with_awkward_ids(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, text), (9, text + " more"), (9, "else"), (None, text), (7, None), (7, "")]
+    docs = with_clashes(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    kept = first_of_groups(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(str, [(5, text), (None, text), (7, None), (7, "")]))
+    assert first_of_groups(docs.limit(0)).collect() == []

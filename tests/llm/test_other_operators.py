@@ -196,3 +196,24 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(range(150)) <= ids["ngram_join"] and len(ids["ngram_join"] & set(range(170, 190))) < 10
     assert ids["mixing"] == ids["bpe"] == ids["ngram_join"]
     assert corpus_pipeline.run(spark, str(tmp_path)).count() >= len(ids["bpe"])
+
+
+def test_mixed_rows_with_awkward_ids(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (2, "d"), (3, None), (9, "e")], "doc_id bigint, text string")
+    docs = docs.selectExpr("*", *(f"'clash' AS {name}" for name in ("_copies", "copies", "_id", "known", "row", "id", "_copy", "col")))
+    plan = spark.createDataFrame([(1, 2), (1, 1), (None, 3), (2, 0), (3, 1)], "doc_id bigint, copies bigint")
+    got = mixed(docs, plan)
+    assert got.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(
+        map(str, [(1, "a")] * 2 + [(1, "b")] * 2 + [(None, "c")] * 3 + [(3, None)])
+    )
+    assert mixed(docs.limit(0), plan).collect() == [] == mixed(docs, plan.limit(0)).collect()
+
+
+def test_pipeline_without_labels(spark, tmp_path):
+    """Nothing is known to be toxic and no language is told apart: only copies go."""
+    text = " ".join(f"w{i}" for i in range(40))
+    documents(spark, [text, text, "other words", None, ""]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in rows) == [0, 2, 3]

@@ -202,3 +202,14 @@ def test_models_are_distributions():
     kinds = np.random.default_rng(1).integers(0, 3, (toxicity.SYMBOLS,) * 3)
     kinds[5] = 0
     assert np.allclose(toxicity.continuation(kinds).sum(-1), 1)
+
+
+def test_every_character_is_encoded_as_in_the_library(codec, library):
+    every = [chr(c) for c in [*range(1, 0xD800), *range(0xE000, 0x110000)]]
+    lines = ["".join(f"{c}'t a{c} 1{c}2 {c}{c}\n" for c in every[k : k + 400]) for k in range(0, len(every), 400)]
+    pick = random.Random(2)
+    odd = "".join(codec.odd.values()) + "é'ta1 \n"
+    lines += ["".join(pick.choice([pick.choice(odd), pick.choice(every), "'t", " "]) for _ in range(20)) for _ in range(20_000)]
+    wanted = library.encode_batch(lines, add_special_tokens=False)
+    different = [text for text, ids, e in zip(lines, codec.encode_all(lines), wanted) if ids.decode() != ",".join(map(str, e.ids))]
+    assert not different, different[0][:80]
