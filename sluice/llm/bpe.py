@@ -264,8 +264,8 @@ class Merges:
         return chain[::-1]
 
 
-BEYOND_ASCII = "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]))
 RUN = 256  # characters of one class that are asked about together
+ASKED = 64  # runs in a question: the library's answers are large
 
 
 def _class_of(asked: list[str], begins: Callable[[str], set[int]]) -> Iterator[str]:
@@ -273,13 +273,14 @@ def _class_of(asked: list[str], begins: Callable[[str], set[int]]) -> Iterator[s
 
     Between a letter and a digit: letters join the one, numbers the other.
     """
-    starts = begins("".join(f"a{run}1\n" for run in asked))
-    at = 0
-    for run in asked:
-        inside = any(at + k in starts for k in range(2, len(run) + 1))
-        first, digit = at + 1 in starts, at + 1 + len(run) in starts
-        yield "?" if inside else "L" if not first and digit else "N" if first and not digit else "P" if first else "?"
-        at += len(run) + 3
+    for i in range(0, len(asked), ASKED):
+        part = asked[i : i + ASKED]
+        starts, at = begins("".join(f"a{run}1\n" for run in part)), 0
+        for run in part:
+            inside = any(at + k in starts for k in range(2, len(run) + 1))
+            first, digit = at + 1 in starts, at + 1 + len(run) in starts
+            yield "?" if inside else "L" if not first and digit else "N" if first and not digit else "P" if first else "?"
+            at += len(run) + 3
 
 
 def odd_characters(spec: dict) -> dict[str, str]:
@@ -291,12 +292,17 @@ def odd_characters(spec: dict) -> dict[str, str]:
     """
     from tokenizers import Tokenizer
 
-    split = Tokenizer.from_str(json.dumps(spec)).pre_tokenizer.pre_tokenize_str
+    # Without its vocabulary: only how it parts text is asked for.
+    bare = spec | {"added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}}
+    split = Tokenizer.from_str(json.dumps(bare)).pre_tokenizer.pre_tokenize_str
     begins = lambda text: {start for _, (start, _) in split(text)}
     kinds = regex.compile(r"(?<L>\p{L}+)|(?<N>\p{N}+)|(?<P>[^\p{L}\p{N}\p{White_Space}]+)")
+    beyond_ascii = "".join(
+        np.arange(a, b, dtype="<u4").tobytes().decode("utf-32-le") for a, b in ((0x80, 0xD800), (0xE000, 0x110000))
+    )
     runs = [
         (m.lastgroup, m.group()[k : k + RUN])
-        for m in kinds.finditer(BEYOND_ASCII)
+        for m in kinds.finditer(beyond_ascii)
         for k in range(0, len(m.group()), RUN)
     ]
     unclear = [(ours, run) for (ours, run), theirs in zip(runs, _class_of([r for _, r in runs], begins)) if ours != theirs]
