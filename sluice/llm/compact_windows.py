@@ -25,7 +25,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import SPACED, Words, blocks, byte_codes, folded, maybe_among, mix, shingles, text_bytes, texts
+from sluice.llm.common import (
+    SPACED,
+    Words,
+    blocks,
+    byte_codes,
+    folded,
+    maybe_among,
+    mix,
+    powers,
+    prefix_hashes,
+    shingles,
+    text_bytes,
+    texts,
+)
 from sluice.operators.skew import mark_hot, split_lookup
 from sluice.sources.staging import Staging
 
@@ -36,7 +49,7 @@ FUNCTIONS = 8
 ENOUGH = 4  # functions that must agree before tokens are compared
 
 CODES = folded(byte_codes(7))
-REACH = (1 << 18) - 1  # tokens that a window is described by on either side of c
+REACH = (1 << 14) - 1  # tokens that a window is described by on either side of c
 
 
 def least_windows(
@@ -111,7 +124,7 @@ def _windows(width: int, functions: int) -> Callable:
                     value = mix(gram + np.uint64(0x9E3779B97F4A7C15 * (f + 1) % (1 << 64)))
                     l, c, r = least_windows((value & high) | place, bits, text, first, width)
                     at = c - first[text[c]]
-                    packed = (at << 40) | (np.minimum(c - l, REACH) << 22) | (np.minimum(r - c, REACH) << 4) | f
+                    packed = (at << 32) | (np.minimum(c - l, REACH) << 18) | (np.minimum(r - c, REACH) << 4) | f
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(mix(value[c] + np.uint64(f)).view(np.int64)), pa.array(ids[a + text[c]]), pa.array(packed)],
                         names=["key", "doc_id", "packed"],
@@ -120,16 +133,19 @@ def _windows(width: int, functions: int) -> Callable:
     return run
 
 
+# A packed window has 31 bits for the place of c, more than a text can have tokens. Cutting
+# its sides at REACH loses nothing: every stretch it stands for lies within `width` of c.
 def unpack(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(l, c, r, f)."""
-    c = packed >> 40
-    return c - ((packed >> 22) & REACH), c, c + ((packed >> 4) & REACH), packed & 15
+    c = packed >> 32
+    return c - ((packed >> 18) & REACH), c, c + ((packed >> 4) & REACH), packed & 15
 
 
 def _tie(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, other, packed, at): windows and the first text's window of their group.
 
-    From rows sorted by (key, doc_id, packed).
+    From rows sorted by (key, doc_id, packed). The first text's window, tied to itself,
+    stands for it if it has company; (other, at, function) names the group.
     """
     hub = None
     for batch in batches:
@@ -144,8 +160,9 @@ def _tie(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = starts[-1]
         hub = (key[last], doc[last], packed[last])
         if tied.size:
+            tied = np.concatenate([np.unique(first[tied]), tied])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[tied]), pa.array(doc[first[tied]]), pa.array(packed[tied]), pa.array((packed >> 40)[first[tied]].astype(np.int32))],
+                [pa.array(doc[tied]), pa.array(doc[first[tied]]), pa.array(packed[tied]), pa.array((packed >> 32)[first[tied]].astype(np.int32))],
                 names=["doc_id", "other", "packed", "at"],
             )
 
@@ -178,17 +195,33 @@ def stretches(packed: np.ndarray, at: np.ndarray, enough: int) -> list[tuple[int
     return out
 
 
+def _lists(column: pa.Array, *names: str) -> Iterator[list[np.ndarray]]:
+    """The fields of each row's list of structs; empty ones for a null."""
+    sizes = np.diff(np.append(0, np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
+    inner = column.flatten()
+    fields = [inner.field(inner.type.get_field_index(n)).to_numpy(zero_copy_only=False) for n in names]
+    place = 0
+    for size in sizes:
+        yield [f[place : place + size] for f in fields]
+        place += size
+
+
 def _candidates(enough: int, width: int) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, other, ties in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "other", "ties"))):
-                packed = np.array([t["packed"] for t in ties], np.int64)
-                at = np.array([t["at"] for t in ties], np.int64)
-                for start, end, low, high in stretches(packed, at, enough):
-                    # Whole multiples of the width, so that few different stretches are asked for.
-                    rows.append((doc, other, *(x for s, e in ((start, end), (low, high)) for x in (
-                        max(0, (s // width - 1) * width), (e // width + 2) * width))))
+            ids = batch.column("doc_id").to_pylist()
+            for doc, (others, packed, at) in zip(ids, _lists(batch.column("ties"), "other", "packed", "at")):
+                order = np.argsort(others, kind="stable")
+                edges = np.flatnonzero(np.diff(others[order])) + 1
+                for mine in np.split(order, edges):
+                    other = int(others[mine[0]])
+                    if other == doc or len(np.unique(packed[mine] & 15)) < enough:
+                        continue
+                    for start, end, low, high in stretches(packed[mine], at[mine], enough):
+                        # Whole multiples of the width, so that few different stretches are asked for.
+                        rows.append((doc, other, *(x for s, e in ((start, end), (low, high)) for x in (
+                            max(0, (s // width - 1) * width), (e // width + 2) * width))))
             columns = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(c, pa.int64()) for c in columns[:2]), *(pa.array(c, pa.int32()) for c in columns[2:])],
@@ -198,6 +231,139 @@ def _candidates(enough: int, width: int) -> Callable:
     return run
 
 
+def runs(places: np.ndarray) -> list[tuple[int, int]]:
+    """(from, to) of the runs of consecutive sorted numbers."""
+    return [(int(x[0]), int(x[-1]) + 1) for x in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1) if len(x)]
+
+
+def unexplained(
+    packed: np.ndarray, others: np.ndarray, done: list[tuple[int, int]],
+    enough: int, width: int, functions: int, similar: float,
+) -> tuple[list[tuple[int, int]], list[tuple[int, int, int]]]:
+    """(pairs of windows, ranges of starts by window) that the passages `done` leave open in one text.
+
+    Pairs: windows of two functions, tied to different texts (one text has been compared
+    already), that share a stretch of `width` tokens which has partners under `enough`
+    functions, and of which less than `similar` lies in a found passage.
+    Ranges: (window, from, to), starts of stretches with partners under all functions that lie in none.
+    """
+    l, c, r, f = unpack(packed)
+    # A window stands for the stretches that contain c and begin from `low` to `high`.
+    low, high = np.maximum(l, c - width + 1), np.minimum(c, r - width + 1)
+    base = int(low.min())
+    size = int(high.max()) - base + 1
+    met, own = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
+    for one in range(functions):
+        own[:] = 0
+        mine = f == one
+        np.add.at(own, low[mine] - base, 1)
+        np.add.at(own, high[mine] + 1 - base, -1)
+        met += np.cumsum(own) > 0
+    start = np.arange(base, base + size)
+    covered = np.zeros(size, np.int64)
+    for a, b in done:
+        x, y = max(0, a - width - base), min(size, b - base)
+        if x < y:
+            part = np.minimum(start[x:y] + width, b) - np.maximum(start[x:y], a)
+            covered[x:y] = np.maximum(covered[x:y], part)
+    whole = start[(met[:size] >= functions) & (covered < width)]
+    open_ = start[(met[:size] >= enough) & (covered < similar * width)]
+    pairs: set[tuple[int, int]] = set()
+    order = np.argsort(low, kind="stable")
+    reach = np.maximum.accumulate(high[order])
+
+    def holding(a: int, b: int) -> np.ndarray:
+        """Windows that hold starts from a to b, by `low`; those of one function are disjoint."""
+        near = order[np.searchsorted(reach, a) : np.searchsorted(low[order], b)]
+        return near[high[near] >= a]
+
+    for a, b in runs(open_):
+        near = holding(a, b)
+        for at, i in enumerate(near):
+            for j in near[at + 1 :]:
+                if low[j] > min(high[i], b - 1):
+                    break
+                if f[i] != f[j] and others[i] != others[j] and max(low[i], low[j], a) <= min(high[i], high[j]):
+                    pairs.add((int(i), int(j)))
+    ranges = [
+        (int(i), max(a, int(low[i])), min(b, int(high[i]) + 1)) for a, b in runs(whole) for i in holding(a, b)
+    ]
+    return sorted(pairs), ranges
+
+
+def _again(enough: int, width: int, functions: int, similar: float) -> Callable:
+    """(key, doc_id, packed) of windows under two functions' groups; without key: starts of strings.
+
+    Strings are asked of the text itself and of the first texts that its windows are tied to,
+    which may have found another partner for theirs.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, docs, values, known = [], [], [], []
+            ids = batch.column("doc_id").to_pylist()
+            ties = _lists(batch.column("ties"), "other", "packed", "at")
+            found = _lists(batch.column("done"), "start_word", "end_word")
+            for doc, (others, packed, at), (a, b) in zip(ids, ties, found):
+                packed, first = np.unique(packed, return_index=True)
+                if len(np.unique(packed & 15)) < enough:
+                    continue
+                done = list(zip(a.tolist(), (b - SHINGLE + 1).tolist()))
+                pairs, strings = unexplained(packed, others[first], done, enough, width, functions, similar)
+                group = mix(others[first].astype(np.uint64) + mix((at[first].astype(np.uint64) << np.uint64(4)) | (packed & 15).astype(np.uint64)))
+                if pairs:
+                    both = np.array(pairs)
+                    key = mix(group[both[:, 0]] + group[both[:, 1]])
+                    for side in (0, 1):
+                        own = packed[both[:, side]]
+                        keys.append(mix(key + (own & 15).astype(np.uint64)).view(np.int64))
+                        values.append(own)
+                        docs.append(np.full(len(own), doc, np.int64))
+                        known.append(np.ones(len(own), bool))
+                if strings:
+                    window, low, high = np.array(strings, np.int64).T
+                    shift = at[first[window]].astype(np.int64) - (packed[window] >> 32)
+                    asks = [np.stack((np.full(len(low), doc, np.int64), low, high), 1),
+                            np.stack((others[first[window]], np.maximum(low + shift, 0), np.maximum(high + shift, 0)), 1)]
+                    asks = np.unique(np.concatenate(asks), axis=0)
+                    docs.append(asks[:, 0])
+                    values.append((asks[:, 1] << 32) | asks[:, 2])
+                    keys.append(np.zeros(len(asks), np.int64))
+                    known.append(np.zeros(len(asks), bool))
+            if keys:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys), mask=~np.concatenate(known)), pa.array(np.concatenate(docs)), pa.array(np.concatenate(values))],
+                    names=["key", "doc_id", "packed"],
+                )
+
+    return run
+
+
+def _strings(width: int) -> Callable:
+    """(string, doc_id, start) of the strings of `width` tokens that are asked for, by 128-bit hash."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_bytes(batch.column("text"))
+            asked, ids = batch.column("asked").to_pylist(), batch.column("doc_id").to_pylist()
+            for a, b in blocks(offsets):
+                gram, first = tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                sums = [prefix_hashes(gram), prefix_hashes(mix(gram + np.uint64(1)))]
+                _, down = powers(len(gram) + 1)
+                for i in range(a, b):
+                    starts = np.unique(np.concatenate([np.arange(x >> 32, x & 0xFFFFFFFF) for x in asked[i]])) + first[i - a]
+                    starts = starts[starts + width <= first[i - a + 1]]
+                    halves = [mix((s[starts + width] - s[starts]) * down[starts]) for s in sums]
+                    raw = pa.py_buffer(np.ascontiguousarray(np.stack(halves, 1)).tobytes())
+                    string = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(starts), [None, raw]).cast(pa.binary())
+                    yield pa.RecordBatch.from_arrays(
+                        [string, pa.array(np.full(len(starts), ids[i], np.int64)), pa.array((starts - first[i - a]).astype(np.int32))],
+                        names=["string", "doc_id", "start"],
+                    )
+
+    return run
+
+
 def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The tokens of the stretches that are asked for, 32 bits each."""
     for batch in batches:
@@ -317,44 +483,29 @@ def _merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def repeated_passages(
-    docs: DataFrame,
-    passage: int = PASSAGE,
-    similar: float = SIMILAR,
-    functions: int = FUNCTIONS,
-    enough: int = ENOUGH,
-    staging: Staging | None = None,
-) -> DataFrame:
-    """Passages that occur, nearly alike, in other texts too.
-
-    One row per passage of a document: doc_id, start_word, end_word (exclusive, words
-    between ASCII white space), first_doc (the smallest doc_id it was found in, possibly
-    its own), similarity (the best found). A passage has `passage` words at least, and the
-    sets of 5-word shingles (A-Z lower-cased) of both sides have a Jaccard similarity of
-    `similar` or more. Documents without any have no row. Copies of an equal text are
-    repeated as a whole if they are long enough.
-
-    Null texts are empty and have none. Rows that repeat a doc_id with one text are copies
-    of each other; rows without doc_id have no place in the result and are left out.
-    Other columns are ignored, an empty table gives no rows.
-    """
-    staging = staging or Staging(docs.sparkSession)
-    width = passage - SHINGLE + 1
-    known = texts(docs).where(F.col("doc_id").isNotNull()).withColumn("digest", F.md5("text"))
-    windows = known.mapInArrow(_windows(width, functions), "key bigint, doc_id bigint, packed bigint")
-    ties = (
+def _ties(windows: DataFrame) -> DataFrame:
+    """(doc_id, ties): each text's windows that others share, at most all it has."""
+    return (
         windows.repartition("key")
         .sortWithinPartitions("key", "doc_id", "packed")
         .mapInArrow(_tie, "doc_id bigint, other bigint, packed bigint, at int")
+        .groupBy("doc_id")
+        .agg(F.collect_list(F.struct("other", "packed", "at")).alias("ties"))
     )
-    functions_met = F.expr("bit_count(bit_or(shiftleft(1, cast(packed & 15 AS int))))")
-    pairs = (
-        ties.groupBy("doc_id", "other")
-        .agg(F.collect_set(F.struct("packed", "at")).alias("ties"), functions_met.alias("n"))
-        .where(F.col("n") >= enough)
+
+
+def _asked_texts(known: DataFrame, asked: DataFrame) -> DataFrame:
+    return (
+        maybe_among(known, "doc_id", asked, "_doc")
+        .join(asked.hint("merge"), F.col("doc_id") == F.col("_doc"))
+        .select("doc_id", "text", "asked")
     )
+
+
+def _spans(known: DataFrame, ties: DataFrame, width: int, similar: float, enough: int, staging: Staging) -> DataFrame:
+    """(doc_id, start_word, end_word, other, similarity): verified passages of tied texts."""
     candidates = staging.pin(
-        pairs.mapInArrow(_candidates(enough, width), "doc_id bigint, other bigint, start int, end int, other_start int, other_end int"),
+        ties.mapInArrow(_candidates(enough, width), "doc_id bigint, other bigint, start int, end int, other_start int, other_end int"),
         "candidates",
     )
     sides = candidates.select("doc_id", "start", "end").unionAll(
@@ -363,9 +514,8 @@ def repeated_passages(
     asked = (
         sides.distinct().groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("start", "end")).alias("asked"))
     )
-    asked_texts = maybe_among(known, "doc_id", asked, "_doc").join(asked.hint("merge"), F.col("doc_id") == F.col("_doc")).select("doc_id", "text", "asked")
     cuts = staging.pin(
-        asked_texts.mapInArrow(_cut, "doc_id bigint, start int, end int, tokens binary").dropDuplicates(["doc_id", "start", "end"]),
+        _asked_texts(known, asked).mapInArrow(_cut, "doc_id bigint, start int, end int, tokens binary").dropDuplicates(["doc_id", "start", "end"]),
         "stretches",
     )
     own = cuts.select(F.col("doc_id").alias("_a"), F.col("start").alias("_as"), F.col("end").alias("_ae"), "tokens")
@@ -378,12 +528,70 @@ def repeated_passages(
     verified = met.select("doc_id", "start", "other", "other_start", "tokens", "other_tokens").mapInArrow(
         _verify(width, similar), "doc_id bigint, start_word int, end_word int, other bigint, similarity double"
     )
-    spans = staging.pin(
+    return staging.pin(
         verified.groupBy("doc_id", "start_word", "end_word").agg(
             F.least(F.min("other"), F.col("doc_id")).alias("other"), F.max("similarity").alias("similarity")
         ),
         "spans",
     )
+
+
+def repeated_passages(
+    docs: DataFrame,
+    passage: int = PASSAGE,
+    similar: float = SIMILAR,
+    functions: int = FUNCTIONS,
+    enough: int = ENOUGH,
+    staging: Staging | None = None,
+) -> DataFrame:
+    """Passages that occur, nearly alike, in other texts too.
+
+    One row per passage of a document: doc_id, start_word, end_word (exclusive, words
+    between ASCII white space), first_doc (the smallest doc_id it was found in, possibly
+    its own), similarity (the best found). A passage has `passage` words at least, and the
+    sets of 5-word shingles (A-Z lower-cased) of both sides have a Jaccard similarity of
+    `similar` or more. Documents without any have no row. Copies of an equal text are
+    repeated as a whole if they are long enough.
+
+    Every exact passage that no found passage of its text covers already is found, with any
+    other text. Near-duplicate ones are found if min-hashes agree, see ENOUGH; the tests
+    measure the recall. Texts may have any length that Spark can hold.
+
+    Null texts are empty and have none. Rows that repeat a doc_id with one text are copies
+    of each other; rows without doc_id have no place in the result and are left out.
+    Other columns are ignored, an empty table gives no rows.
+    """
+    staging = staging or Staging(docs.sparkSession)
+    width = passage - SHINGLE + 1
+    known = texts(docs).where(F.col("doc_id").isNotNull()).withColumn("digest", F.md5("text"))
+    windows = known.mapInArrow(_windows(width, functions), "key bigint, doc_id bigint, packed bigint")
+    ties = staging.pin(_ties(windows), "ties")
+    spans = _spans(known, ties, width, similar, enough, staging)
+
+    # What these passages leave open: finer groups, and strings.
+    done = spans.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("start_word", "end_word")).alias("done"))
+    again = staging.pin(
+        ties.join(done, F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "ties", "done")
+        .mapInArrow(_again(enough, width, functions, similar), "key bigint, doc_id bigint, packed bigint"),
+        "again",
+    )
+    finer = _spans(known, staging.pin(_ties(again.where("key IS NOT NULL")), "ties"), width, similar, enough, staging)
+    asked = again.where("key IS NULL").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("packed").alias("asked"))
+    strings = staging.pin(
+        _asked_texts(known, asked).mapInArrow(_strings(width), "string binary, doc_id bigint, start int"), "strings"
+    )
+    shared = (
+        strings.groupBy("string")
+        .agg(F.min("doc_id").alias("other"), F.max("doc_id").alias("_last"), F.count(F.lit(1)).alias("n_rows"))
+        .where("other < _last")
+    )
+    shared = mark_hot(shared.drop("_last"), strings.count())
+    exact = split_lookup(
+        strings, "string", shared.where("hot"), shared.where("NOT hot"), ["other"], spread_by=["doc_id", "start"]
+    ).where("_found")
+    spans = spans.unionAll(finer).unionAll(
+        exact.select("doc_id", F.col("start").alias("start_word"), (F.col("start") + passage).alias("end_word"), "other", F.lit(1.0).alias("similarity"))
+    )
     found = spans.groupBy("doc_id").agg(
         F.collect_list(F.struct("start_word", "end_word", "other", "similarity")).alias("found")
     ).mapInArrow(_merge, "doc_id bigint, start_word bigint, end_word bigint, first_doc bigint, similarity double")

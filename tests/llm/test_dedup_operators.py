@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from sluice.llm.compact_windows import least_windows, passages, repeated_passages
+from sluice.llm.compact_windows import least_windows, passages, repeated_passages, unexplained
 from sluice.llm.components import components
 from sluice.llm.exact_dedup import exact_groups, first_copies
 from sluice.llm.ngram_join import first_of_groups, ngram_links
@@ -214,6 +214,80 @@ def test_short_passages_with_an_edit_at_each_place(n_words):
             both = len(set(one[a:b].tolist()) & set(two[x:y].tolist()))
             assert min(b - a, y - x) >= width and value == both / (b - a + y - x - both) >= 0.8
 
+def _words(pick: random.Random, n: int) -> list[str]:
+    return [f"w{pick.randrange(100_000)}" for _ in range(n)]
+
+
+@pytest.mark.parametrize("n_line", [25, 40])
+def test_shared_passages_with_an_earlier_text_that_has_a_line_of_them(spark, n_line):
+    """The earlier text is first in the groups of the line's tokens and shares too little."""
+    pick, texts, expected = random.Random(n_line), [], {}
+    for k in range(40):
+        passage = _words(pick, 60)
+        line = passage[10 : 10 + n_line]
+        texts += [_words(pick, 80) + line + _words(pick, 80) for _ in range(1 + k % 2)]
+        for _ in range(2):
+            expected[len(texts)] = (80, 140)
+            texts.append(_words(pick, 80) + passage + _words(pick, 80))
+    rows = repeated_passages(documents(spark, [" ".join(t) for t in texts])).collect()
+    assert {r.doc_id: (r.start_word, r.end_word) for r in rows} == expected
+    assert len(rows) == len(expected)
+
+
+def test_passages_of_frequent_lines_only(spark):
+    """Two texts share two lines in a row, each of which very many others have alone."""
+    pick = random.Random(3)
+    one, two = _words(pick, 28), _words(pick, 28)
+    texts = [_words(pick, 60) + (one, two)[k % 2] + _words(pick, 60) for k in range(60)]
+    texts += [_words(pick, 70) + one + two + _words(pick, 70) for _ in range(2)]
+    rows = repeated_passages(documents(spark, [" ".join(t) for t in texts])).collect()
+    assert {r.doc_id: (r.start_word, r.end_word) for r in rows} == {60: (70, 126), 61: (70, 126)}
+
+
+def test_recall_of_near_duplicate_passages_against_brute_force(spark):
+    """Of texts with a stretch of 50 words that is 0.8 similar to one of another text, 9 in 10 are found."""
+    pick, texts = random.Random(11), []
+    for k in range(60):
+        passage = _words(pick, 90)
+        texts.append(_words(pick, 50) + passage[20:45] + _words(pick, 50))
+        for _ in range(2):
+            copy = list(passage)
+            for place in pick.sample(range(90), k % 3):
+                copy[place] = "edited" + str(pick.random())
+            texts.append(_words(pick, 50) + copy + _words(pick, 50))
+    width, numbers, grams = 46, {}, []
+    for t in texts:
+        grams.append(np.array([numbers.setdefault(tuple(t[i : i + 5]), len(numbers)) for i in range(len(t) - 4)]))
+    truth = set()
+    for i, x in enumerate(grams):
+        for j in range(i):
+            same = x[:, None] == grams[j][None, :]
+            if same.sum() >= 41:
+                sums = np.pad(same.cumsum(0).cumsum(1), ((1, 0), (1, 0)))
+                both = sums[width:, width:] - sums[:-width, width:] - sums[width:, :-width] + sums[:-width, :-width]
+                if (both * 10 >= 8 * (2 * width - both)).any():
+                    truth |= {i, j}
+    found = {r.doc_id for r in repeated_passages(documents(spark, [" ".join(t) for t in texts])).collect()}
+    assert len(truth) > 80
+    assert found <= truth | {i for i in range(len(texts)) if i % 3}
+    assert len(found & truth) >= 0.9 * len(truth)
+
+
+def test_unexplained_stretches():
+    """Starts within the windows of all functions are left open unless a passage holds them."""
+
+    def window(left, center, right, function):
+        return (center << 32) | ((center - left) << 18) | ((right - center) << 4) | function
+
+    packed = np.array([window(0, 30, 70, 0), window(10, 40, 90, 1)], np.int64)
+    others = np.array([7, 9])
+    pairs, ranges = unexplained(packed, others, [], 2, 46, 2, 0.8)
+    assert pairs == [(0, 1)] and {(a, b) for _, a, b in ranges} == {(10, 26)}
+    assert unexplained(packed, np.array([7, 7]), [], 2, 46, 2, 0.8)[0] == []
+    assert unexplained(packed, others, [(0, 100)], 2, 46, 2, 0.8) == ([], [])
+    pairs, ranges = unexplained(packed, others, [(12, 70)], 2, 46, 2, 0.8)
+    assert pairs == [] and {(a, b) for _, a, b in ranges} == {(10, 12), (25, 26)}
+
 
 def test_repeated_passages_of_awkward_rows(spark):
     assert {r.doc_id for r in repeated_passages(awkward(spark)).collect()} == {5, 6}
