@@ -483,14 +483,20 @@ def _merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _ties(windows: DataFrame) -> DataFrame:
-    """(doc_id, ties): each text's windows that others share, at most all it has."""
+def _ties(windows: DataFrame, enough: int) -> DataFrame:
+    """(doc_id, ties): each text's windows that others share, at most all it has.
+
+    Texts that share them under fewer than `enough` functions can have no passage.
+    """
+    functions_met = F.expr("bit_count(bit_or(shiftleft(1, cast(packed & 15 AS int))))")
     return (
         windows.repartition("key")
         .sortWithinPartitions("key", "doc_id", "packed")
         .mapInArrow(_tie, "doc_id bigint, other bigint, packed bigint, at int")
         .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("other", "packed", "at")).alias("ties"))
+        .agg(F.collect_list(F.struct("other", "packed", "at")).alias("ties"), functions_met.alias("_n"))
+        .where(F.col("_n") >= enough)
+        .drop("_n")
     )
 
 
@@ -565,17 +571,17 @@ def repeated_passages(
     width = passage - SHINGLE + 1
     known = texts(docs).where(F.col("doc_id").isNotNull()).withColumn("digest", F.md5("text"))
     windows = known.mapInArrow(_windows(width, functions), "key bigint, doc_id bigint, packed bigint")
-    ties = staging.pin(_ties(windows), "ties")
+    ties = staging.pin(_ties(windows, enough), "ties")
     spans = _spans(known, ties, width, similar, enough, staging)
 
     # What these passages leave open: finer groups, and strings.
     done = spans.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("start_word", "end_word")).alias("done"))
     again = staging.pin(
-        ties.join(done, F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "ties", "done")
+        ties.join(done.hint("merge"), F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "ties", "done")
         .mapInArrow(_again(enough, width, functions, similar), "key bigint, doc_id bigint, packed bigint"),
         "again",
     )
-    finer = _spans(known, staging.pin(_ties(again.where("key IS NOT NULL")), "ties"), width, similar, enough, staging)
+    finer = _spans(known, staging.pin(_ties(again.where("key IS NOT NULL"), enough), "ties"), width, similar, enough, staging)
     asked = again.where("key IS NULL").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("packed").alias("asked"))
     strings = staging.pin(
         _asked_texts(known, asked).mapInArrow(_strings(width), "string binary, doc_id bigint, start int"), "strings"
