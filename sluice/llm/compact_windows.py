@@ -559,8 +559,9 @@ def repeated_passages(
     `similar` or more. Documents without any have no row. Copies of an equal text are
     repeated as a whole if they are long enough.
 
-    Every exact passage that no found passage of its text covers already is found, with any
-    other text. Near-duplicate ones are found if min-hashes agree, see ENOUGH; the tests
+    Every exact passage that no found passage of its text covers already is found, whoever is
+    first in its groups; not, if all its partners found others in the same place and none of
+    them is first in a group of it. Near-duplicate ones are found if min-hashes agree, see ENOUGH; the tests
     measure the recall. Texts may have any length that Spark can hold.
 
     Null texts are empty and have none. Rows that repeat a doc_id with one text are copies
