@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sluice.llm.chat import conversation_digests, escaped, format_conversations, read_back, unescaped
-from sluice.llm.mixing import mix_to_targets, mixed
+from sluice.llm.mixing import fit_rates, mix_to_targets, mixed
 from sluice.llm.multi_index import Codebooks, kmeans, nearest
+from sluice.sources.staging import Staging
 from tests.llm.helpers import awkward, documents, empty, prose
 
 VECTORS = "vec_id bigint, embedding array<float>, label int"
@@ -168,6 +169,31 @@ def test_overlapping_domains_meet_their_targets(spark):
     assert far > 0.1
 
 
+@pytest.mark.parametrize(("floor", "goals"), [(0.0, [3000.0, 1000.0, 1000.0]), (0.8, [100.0, 9000.0, 500.0]), (0.0, [4000.0, 1000.0, 500.0])])
+def test_rates_are_a_least_squares_optimum(spark, floor, goals):
+    """Against coordinate descent, which sets one document's rate at a time to its best value."""
+    pick = np.random.default_rng(5)
+    p = pick.dirichlet([0.5, 0.5, 0.5], 60)
+    p[:20] = [0.5, 0.3, 0.2]
+    tokens = pick.integers(0, 200, 60)
+    members = spark.createDataFrame([(int(t), *map(float, x)) for t, x in zip(tokens, p)], "tokens bigint, p0 double, p1 double, p2 double")
+    goals, parts = np.array(goals), p * tokens[:, None]
+    mass = parts.sum(0)
+    found, reached = fit_rates(members, ["p0", "p1", "p2"], mass, goals, floor, Staging(spark))
+    rows = found.collect()
+    assert len(rows) == 60 and all(r.rate >= floor for r in rows)
+    again = sum(np.array([r.p0, r.p1, r.p2]) * r.tokens * r.rate for r in rows)
+    assert np.allclose(again, reached)
+    weights = 1 / np.maximum(np.maximum(mass, goals / 100), 1.0)
+    rate = np.full(60, max(floor, 1.0))
+    for _ in range(3000):
+        for i in np.flatnonzero(tokens):
+            left = goals - (rate @ parts - rate[i] * parts[i])
+            rate[i] = max(floor, (weights * parts[i]) @ left / ((weights * parts[i]) @ parts[i]))
+    best, cost = weights @ (rate @ parts - goals) ** 2, weights @ (reached - goals) ** 2
+    assert cost <= best * 1.001 + 1e-3
+
+
 def test_mixing_awkward_rows(spark):
     docs = awkward(spark)
     labels = spark.createDataFrame([(3, "a"), (5, "b"), (7, "a"), (77, "b"), (None, "a"), (8, None)], "doc_id bigint, domain string")
