@@ -31,7 +31,7 @@ from sluice.sources.staging import Staging
 BINS = 512  # words are counted by their hash
 SMOOTH = 0.5
 VARIANCE_FLOOR = 1e-4
-OPTIMAL = 1e-5  # of a target, or of all tokens where there is none
+OPTIMAL = 2.5e-4  # deviation at which steps end: of a target, or of all tokens where there is none
 GAIN = 1e-7  # of the cost; a plain step that gains less is the last one
 STEPS = 200
 STORED = 8  # steps between two writes of the rates
