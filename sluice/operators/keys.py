@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators.skew import lookup, mark_hot
+from sluice.operators.skew import fits_broadcast, lookup, mark_hot
 from sluice.sources.staging import Staging
 
 
@@ -90,6 +90,17 @@ def repeat_counts(rows: DataFrame, key: str, total: int) -> DataFrame:
     return mark_hot(counts, total)
 
 
+def first_rows(rows: DataFrame, key: str, row_order: str, total: int) -> DataFrame:
+    """Keys on more than one row and the row order of their first: (key, n_rows, winner, hot).
+
+    The smallest row order is found by the aggregate that counts, so that rows of repeated
+    keys, which can be many, are not shuffled again to find it. That is for a row order that
+    is a number; a wide one would weigh more than the counts of all keys.
+    """
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"), F.min(row_order).alias("winner"))
+    return mark_hot(counts.where("n_rows > 1"), total)
+
+
 def _matching(rows: DataFrame, key: str, table: DataFrame, value: str, row_order: str) -> DataFrame:
     """Rows whose key (null included) is in `table`, with its `value`."""
     found = lookup(rows, key, table, values=[value], spread_by=[row_order], null_safe=True)
@@ -136,7 +147,15 @@ def flag_duplicates(
     flag: str,
     active: Column | None = None,
 ) -> DataFrame:
-    """Add the boolean `flag`: another row of the same key is kept instead of this one."""
+    """Add the boolean `flag`: another row of the same key is kept instead of this one.
+
+    Rows that are not `active` are never flagged. Where rows have to be shuffled, these stay
+    where they are.
+    """
+    if active is not None and not fits_broadcast(verdicts):
+        active = F.coalesce(active, F.lit(False))
+        flagged = flag_duplicates(rows.where(active), key, verdicts, row_order, flag)
+        return flagged.unionAll(rows.where(~active).withColumn(flag, F.lit(False)))
     names = rows.columns
     found = lookup(
         rows,
@@ -156,7 +175,8 @@ def flag_duplicates(
 def staged_orphans(
     rows: DataFrame, fk: str, parent_keys: DataFrame, total: int, staging: Staging
 ) -> DataFrame:
-    return staging.pin(orphan_keys(rows, fk, parent_keys, total), f"orphans-{fk}")
+    verdicts = orphan_keys(rows, fk, parent_keys, total).select(fk, "orphan", "hot")
+    return staging.pin(verdicts, f"orphans-{fk}")
 
 
 def staged_repeats(

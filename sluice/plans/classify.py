@@ -14,11 +14,13 @@ from operator import or_
 from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from sluice.config import ROW_ORDER
 from sluice.functions import cleaning as c
 from sluice.operators.contracts import usable_columns
 from sluice.operators.keys import (
+    first_rows,
     flag_duplicates,
     flag_members,
     flag_orphans,
@@ -32,6 +34,7 @@ from sluice.plans.specs import (
     DATETIME,
     FLOAT,
     INTEGER,
+    SPECS,
     Column,
     Missing,
     Orphan,
@@ -43,6 +46,11 @@ from sluice.sources.staging import Staging, together
 
 REASON = "_reason"
 REJECT_REASON = "reject_reason"
+# Tables whose keys others are checked against. What of these is broadcast is decided by the
+# size of their files, so they keep the session's codec.
+PARENTS = {parent for spec in SPECS.values() for parent in spec.parents}
+# The others are stored smaller, for the same time.
+ROWS_CODEC = "zstd"
 
 
 def _lost(column: str) -> str:
@@ -65,6 +73,10 @@ def _orphan(column: str) -> str:
     return f"_orphan_{column}"
 
 
+def _codec(spec: TableSpec) -> str | None:
+    return None if spec.name in PARENTS else ROWS_CODEC
+
+
 def _typed(column: Column) -> SparkColumn:
     """The value after trimming, case folding, parsing or casting."""
     raw = F.col(column.name)
@@ -177,7 +189,7 @@ def apply_rules(
     counted = judged.withColumn(REASON, reason).observe(
         seen, count_all().alias("rows"), count_true(F.col(REASON).isNull()).alias("survivors")
     )
-    stored = staging.pin(counted, f"judged-{spec.name}")
+    stored = staging.pin(counted, f"judged-{spec.name}", _codec(spec))
     return Judged(spec, stored, columns, seen.get["rows"], seen.get["survivors"])
 
 
@@ -287,22 +299,31 @@ class Classified:
 def decide(judged: Judged, staging: Staging) -> Classified:
     """Add the last rule, not stored yet: of a key's surviving rows all but one are duplicates.
 
-    In two steps because most keys are on one row: the first shuffles nothing but keys and
-    counts, and only rows of repeated keys bring their order and position along.
+    Where the first row of a key stays and its place is a number, one aggregate counts the
+    key's rows and finds it. Dates and wider places are of no use where keys are on one row.
+    So they take two steps: the first shuffles nothing but keys and counts, and only rows of
+    repeated keys bring their date and place along.
     """
     spec, rows = judged.spec, judged.rows
+    one_step = not spec.latest_by and isinstance(rows.schema[ROW_ORDER].dataType, NumericType)
     survives = F.col(REASON).isNull()
     narrow = [name for name in (spec.key, spec.latest_by, ROW_ORDER) if name]
     keys = rows.where(survives).select(*narrow)
     seen = Observation()
-    counted = repeat_counts(keys, spec.key, judged.total).observe(
+    if one_step:
+        found = first_rows(keys, spec.key, ROW_ORDER, judged.total)
+    else:
+        found = repeat_counts(keys, spec.key, judged.total)
+    counted = found.observe(
         seen, count_all().alias("keys"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows")
     )
-    repeats = staging.pin(counted, f"repeats-{spec.key}")
+    repeats = staging.pin(counted.drop("n_rows"), f"repeats-{spec.key}")
     surplus = seen.get["rows"] - seen.get["keys"]
     if surplus:
-        winners = repeat_winners(keys, spec.key, repeats, ROW_ORDER, spec.latest_by)
-        winners = staging.pin(winners, f"winners-{spec.key}")
+        winners = repeats
+        if not one_step:
+            winners = repeat_winners(keys, spec.key, repeats, ROW_ORDER, spec.latest_by)
+            winners = staging.pin(winners, f"winners-{spec.key}")
         rows = flag_duplicates(rows, spec.key, winners, ROW_ORDER, "_duplicate", active=survives)
         fate = F.when(F.col("_duplicate"), F.lit(spec.duplicate_reason)).otherwise(F.col(REASON))
         rows = rows.withColumn(REASON, fate).drop("_duplicate")
@@ -314,7 +335,7 @@ def drop_repeats(judged: Judged, staging: Staging) -> Classified:
     decided = decide(judged, staging)
     observation = Observation()
     observed = decided.rows.observe(observation, *decided.to_count())
-    stored = staging.pin(observed, f"classified-{judged.spec.name}")
+    stored = staging.pin(observed, f"classified-{judged.spec.name}", _codec(judged.spec))
     return replace(decided, rows=stored, counts=observation.get)
 
 

@@ -171,3 +171,28 @@ def test_written_fates_are_silver_and_quarantine(tables, name):
     for kept, wanted in ((fates.where("reject_reason IS NULL").drop("reject_reason"), classified.silver()),
                          (fates.where("reject_reason IS NOT NULL"), classified.quarantine())):
         assert sorted(map(repr, kept.collect())) == sorted(map(repr, wanted.collect()))
+
+
+def test_first_rows_come_with_the_counts(spark, staging, shuffled_joins, monkeypatch):
+    """Where the first row of a key stays, one aggregate finds it, and rejected rows stay where they are."""
+    from sluice.plans import classify
+
+    searches, search = [], classify.repeat_winners
+    monkeypatch.setattr(classify, "repeat_winners", lambda *a: searches.append(1) or search(*a))
+    names = ["item_id", "order_id", "product_id", "quantity", "unit_price", "freight_value"]
+    rows = [(f"I{i % 40}", f"O{i % 5}", "P1", "0" if i % 7 == 0 else "2", "1.5", "0.5") for i in range(200)]
+    parents = {"orders": texts(spark, "order_id", [f"O{i}" for i in range(4)]), "products": texts(spark, "product_id", ["P1"])}
+    judged = classify.apply_rules(bronze(spark, names, rows), SPECS["order_items"], parents, staging)
+    decided = classify.decide(judged, staging)
+    assert not searches and "Union" in decided.rows._jdf.queryExecution().toString()
+
+    kept, seen = [], set()
+    for i, (item, order, _, quantity, *_) in enumerate(rows):
+        if order != "O4" and quantity != "0" and item not in seen:
+            seen.add(item)
+            kept.append(i)
+    assert sorted(values(decided.rows.where(f"{classify.REASON} IS NULL"), ROW_ORDER)) == kept
+    assert decided.unique_rows == len(kept) and decided.rows.count() == len(rows)
+    assert decided.rows.where(f"{classify.REASON} = 'duplicate_item_id'").count() == sum(
+        order != "O4" and quantity != "0" for _, order, _, quantity, *_ in rows
+    ) - len(kept)
