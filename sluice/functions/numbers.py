@@ -50,7 +50,7 @@ def money_parts(amount: Column, name: str) -> list[Column]:
     decimal of 18 digits before the point can hold is only counted: see `money_total`.
     """
     money = amount.try_cast(MONEY)
-    left = amount - money.cast("double")
+    left = F.nullif(amount - money.cast("double"), F.lit(0.0))  # mostly nothing: then not cast
     small = left.try_cast(RESIDUE)
     return [
         F.sum(money).alias(f"{name}_money"),

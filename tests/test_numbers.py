@@ -58,3 +58,10 @@ def test_small_amounts_add_up(spark):
 def test_amounts_beyond_the_decimals_raise(spark, amount):
     with pytest.raises(Exception, match="2 amounts of x are too large"):
         total_of(amounts_of(spark, [1.0, amount, amount]))
+
+
+def test_nothing_left_is_not_added(spark):
+    """Amounts that ten places hold leave no residue to cast; others keep theirs."""
+    parts = lambda *v: spark.createDataFrame([(x,) for x in v], "x double").agg(*money_parts(F.col("x"), "m")).first()
+    assert parts(1.5, 0.1, 12345678.91, None).m_small is None
+    assert float(parts(1.5, 1e-13).m_small) == 1e-13
