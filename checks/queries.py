@@ -17,7 +17,7 @@ from sluice.operators.quality import Findings, missing, unaccepted
 from sluice.plans import gold
 from sluice.plans.bronze import ingest
 from sluice.plans.build import run
-from sluice.plans.classify import Classified, Judged, apply_rules, drop_repeats, normalize
+from sluice.plans.classify import Classified, Judged, apply_rules, decide, drop_repeats, normalize
 from sluice.plans.silver import build_silver
 from sluice.plans.specs import ORDER_ITEMS, ORDERS, PRODUCT_CATEGORIES, SPECS
 from sluice.sources.staging import Staging
@@ -36,6 +36,7 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
         self._judged: dict[str, Judged] = {}
         self._classified: dict[str, Classified] = {}
+        self._decided: dict[str, Classified] = {}
 
     @cached_property
     def staging(self) -> Staging:
@@ -62,6 +63,12 @@ class Tables:
     def silver(self, name: str) -> DataFrame:
         return self.classified(name).silver()
 
+    def silver_once(self, name: str) -> DataFrame:
+        """Silver for a query that reads it once: not stored, so only columns in use are shuffled."""
+        if name not in self._decided:
+            self._decided[name] = decide(self.judged(name), self.staging, rejected=False)
+        return self._decided[name].silver()
+
 
 def _query(body: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, sf_dir: body(Tables(spark, sf_dir))
@@ -325,7 +332,8 @@ def sales_lines(t: Tables) -> DataFrame:
 
 
 def sales_by_state(t: Tables) -> DataFrame:
-    return gold.build_sales_by_state(t.silver("orders"), t.silver("order_items"), t.silver("customers"))
+    names = ("orders", "order_items", "customers")
+    return gold.build_sales_by_state(*(t.silver_once(name) for name in names))
 
 
 def product_performance(t: Tables) -> DataFrame:

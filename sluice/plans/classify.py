@@ -296,9 +296,11 @@ class Classified:
         return measure(self.rows, self.checks(), executed_at)
 
 
-def decide(judged: Judged, staging: Staging) -> Classified:
+def decide(judged: Judged, staging: Staging, rejected: bool = True) -> Classified:
     """Add the last rule, not stored yet: of a key's surviving rows all but one are duplicates.
 
+    Without `rejected`, rows that broke a rule before are left out. That is all Silver needs.
+
     Where the first row of a key stays and its place is a number, one aggregate counts the
     key's rows and finds it. Dates and wider places are of no use where keys are on one row.
     So they take two steps: the first shuffles nothing but keys and counts, and only rows of
@@ -307,6 +309,8 @@ def decide(judged: Judged, staging: Staging) -> Classified:
     spec, rows = judged.spec, judged.rows
     one_step = not spec.latest_by and isinstance(rows.schema[ROW_ORDER].dataType, NumericType)
     survives = F.col(REASON).isNull()
+    if not rejected:
+        rows = rows.where(survives).withColumn(REASON, F.lit(None).cast("string"))
     narrow = [name for name in (spec.key, spec.latest_by, ROW_ORDER) if name]
     keys = rows.where(survives).select(*narrow)
     seen = Observation()
