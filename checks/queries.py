@@ -327,7 +327,8 @@ def published_tables(t: Tables) -> DataFrame:
 
 
 def sales_lines(t: Tables) -> DataFrame:
-    lines = gold.sales_lines(t.silver("orders"), t.silver("order_items"), t.staging)
+    orders, items = t.silver_once("orders"), t.silver_once("order_items")
+    lines = gold.sales_lines(orders, items, t.staging, t.judged("order_items").rows)
     return _without_ingestion_time(lines)
 
 
