@@ -351,9 +351,8 @@ def _in_order(df: DataFrame) -> DataFrame:
 
 
 def customer_segments(t: Tables) -> DataFrame:
-    return gold.build_customer_segments(
-        t.silver("orders"), t.silver("order_items"), t.silver("customers"), t.staging
-    )
+    names = ("orders", "order_items", "customers")
+    return gold.build_customer_segments(*(t.silver_once(name) for name in names), t.staging)
 
 
 def rfm_cut_points(t: Tables) -> DataFrame:
