@@ -356,7 +356,7 @@ def customer_segments(t: Tables) -> DataFrame:
 
 
 def rfm_cut_points(t: Tables) -> DataFrame:
-    facts = gold.order_facts(t.silver("orders"), t.silver("order_items"))
+    facts = gold.order_facts(t.silver_once("orders"), t.silver_once("order_items"))
     activity = t.staging.pin(gold.customer_activity(facts), "activity")
     metrics = ["recency_days", "frequency", "monetary"]
     edges = gold.rfm_cut_points(activity).unpivot([], metrics, "metric", "edges")
