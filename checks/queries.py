@@ -364,7 +364,8 @@ def rfm_cut_points(t: Tables) -> DataFrame:
 
 
 def monthly_kpis(t: Tables) -> DataFrame:
-    return gold.build_monthly_kpis(t.silver("orders"), t.silver("order_items"), t.silver("reviews"))
+    names = ("orders", "order_items", "reviews")
+    return gold.build_monthly_kpis(*(t.silver_once(name) for name in names))
 
 
 # -- exploration ----------------------------------------------------------------------
