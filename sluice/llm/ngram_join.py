@@ -8,13 +8,17 @@ reaches the threshold. The product is taken in two steps, both exact:
    at least SHARED n-grams among the first n - ceil(t n) + SHARED of both. Overlaps are
    accumulated over these columns only, and pairs below that bound are discarded, as are
    pairs whose sizes alone rule a link out. A column too full to pair up its rows chains
-   them by size instead. What is left falls apart into clusters.
+   them by size instead. What is left falls apart into clusters. A column can be full of
+   sets that have little else in common, so the step is taken again within every large
+   cluster, on its own counts and columns, as long as that splits it.
 2. Within a cluster the whole rows are multiplied, block by block of documents of like
    size; pairs below the bound of their sizes are dropped, and each block passes on a
    spanning forest of its links.
 
 The order comes from a table of counters of fixed size, in which the n-grams of all
 documents are counted; any order gives the same links, a good one keeps clusters small.
+Where n-grams outnumber the counters by far, common ones hide among the rare and fill
+columns. The counters of a large cluster hold only its own n-grams.
 Equal sets are one row throughout, so a text with very many copies counts once.
 """
 
@@ -33,10 +37,11 @@ from sluice.llm.components import components
 from sluice.operators.skew import mark_hot, split_lookup
 from sluice.sources.staging import Staging
 
-COUNTERS, CHUNK = 1 << 20, 1 << 12
+COUNTERS, CHUNK = 1 << 22, 1 << 14
 SHARED = 3  # n-grams that linked sets share in their first columns, at least
 FULL = 48  # rows of a column that are paired up
 BLOCK = 256  # documents of a block
+LARGE = 4 * BLOCK  # documents of a cluster that is looked at again
 COLUMNS = 2048  # columns that are multiplied at a time
 
 CODES = folded(byte_codes(5))
@@ -63,16 +68,17 @@ def required(percent: int, n: int) -> int:
 
 def _profiles(size: int) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(COUNTERS, np.int64)
+        counters = np.zeros(COUNTERS, np.uint32)
         names = ["doc_id", "n", "d1", "d2", "chunk", "counts"]
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
+            salts = np.asarray(batch.column("salt")).view(np.uint64)
             rows = []
             for a, b in blocks(offsets):
                 part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                for own in distinct_sets(part, at, size):
+                for salt, own in zip(salts[a:b], distinct_sets(part, at, size)):
                     rows.append((len(own), *digests(own)))
-                    counters[(own & np.uint64(COUNTERS - 1)).astype(np.int64)] += 1
+                    counters[((own ^ salt) & np.uint64(COUNTERS - 1)).astype(np.int64)] += 1
             n, one, two = zip(*rows) if rows else ((), (), ())
             none = pa.nulls(len(rows), pa.int32())
             yield pa.RecordBatch.from_arrays(
@@ -81,7 +87,7 @@ def _profiles(size: int) -> Callable:
                 names=names,
             )
         for k in range(0, COUNTERS, CHUNK):
-            own = counters[k : k + CHUNK]
+            own = np.minimum(counters[k : k + CHUNK], 65535).astype(np.uint16)  # beyond, all are common
             if own.any():
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
@@ -93,34 +99,35 @@ def _profiles(size: int) -> Callable:
 
 
 def _add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The steps by which columns are ordered: whole binary logarithms of the summed counts."""
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist()):
-            own = np.frombuffer(counts, np.int64)
+            own = np.frombuffer(counts, np.uint16).astype(np.int64)
             sums[chunk] = sums[chunk] + own if chunk in sums else own
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
-        names=["chunk", "counts"],
-    )
+    steps = [np.log2(np.maximum(v, 1)).astype(np.uint8).tobytes() for v in sums.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(steps, pa.binary())], names=["chunk", "steps"])
 
 
 def _first_columns(size: int, percent: int, rarity) -> Callable:
-    """Rows (gram, d1, d2, n) of the leading columns, once for each set of a task."""
+    """Rows (gram, d1, d2, n) of the leading columns, once for each set and salt of a task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = rarity.value
-        done: set[tuple[int, int]] = set()
+        done: set[tuple[int, int, int]] = set()
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
+            salts = np.asarray(batch.column("salt")).view(np.uint64)
             for a, b in blocks(offsets):
                 part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 grams, ids = [np.zeros(0, np.uint64)], []
-                for own in distinct_sets(part, at, size):
+                for salt, own in zip(salts[a:b], distinct_sets(part, at, size)):
                     n = len(own)
-                    if n == 0 or (key := digests(own)) in done:
+                    if n == 0 or (*(key := digests(own)), int(salt)) in done:
                         continue
-                    done.add(key)
+                    done.add((*key, int(salt)))
                     length = min(n, n - required(percent, n) + SHARED)
+                    own = own ^ salt
                     rank = order[(own & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64)
                     rank = (rank << np.uint64(57)) | (own >> np.uint64(7))
                     grams.append(own[np.argsort(rank, kind="stable")[:length]])
@@ -291,40 +298,30 @@ def _blocks(clusters: DataFrame, percent: int, staging: Staging) -> DataFrame:
     return whole.unionAll(pair.distinct())
 
 
-def ngram_links(docs: DataFrame, size: int = 4, percent: int = 85, staging: Staging | None = None) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, component_id.
+def _profile(salted: DataFrame, size: int) -> DataFrame:
+    """From rows (doc_id, text, salt): a row for each text, and each task's counters in chunks."""
+    return salted.mapInArrow(_profiles(size), "doc_id bigint, n int, d1 bigint, d2 bigint, chunk int, counts binary")
 
-    Words are what stands between ASCII white space, A-Z lower-cased. A document's set has
-    its distinct `size`-word shingles, or all its words as one if it has fewer; without
-    words it is empty and links with nothing. Two documents link when
-    100 * intersection >= percent * union; `component_id` is the smallest doc_id reachable
-    by links. Rows that repeat a doc_id are one document, whose links count together. A
-    null text is empty. Other columns are ignored, an empty table gives no rows.
+
+def _tied(salted: DataFrame, profile: DataFrame, sets: DataFrame, size: int, percent: int, staging: Staging) -> DataFrame:
+    """(doc_id, cluster) of documents that may link with others: the first step.
+
+    `salted` has rows (doc_id, text, salt), and columns are shared only under the same salt.
     """
-    spark = docs.sparkSession
-    staging = staging or Staging(spark)
-    known = texts(docs)
-    profile = staging.pin(
-        known.mapInArrow(_profiles(size), "doc_id bigint, n int, d1 bigint, d2 bigint, chunk int, counts binary"), "profile"
-    )
+    spark = salted.sparkSession
     sums = profile.where("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk")
-    counters = np.zeros(COUNTERS, np.int64)
-    for row in sums.mapInArrow(_add_up, "chunk int, counts binary").collect():  # one table of fixed size
-        counters[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.counts, np.int64)
-    rarity = spark.sparkContext.broadcast(np.log2(np.maximum(counters, 1)).astype(np.uint8))
+    order = np.zeros(COUNTERS, np.uint8)
+    for row in sums.mapInArrow(_add_up, "chunk int, steps binary").collect():  # one table of fixed size
+        order[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.steps, np.uint8)
+    rarity = spark.sparkContext.broadcast(order)
 
-    entries = known.select("text").mapInArrow(_first_columns(size, percent, rarity), "gram bigint, d1 bigint, d2 bigint, n bigint")
+    entries = salted.select("text", "salt").mapInArrow(_first_columns(size, percent, rarity), "gram bigint, d1 bigint, d2 bigint, n bigint")
     sorted_ = entries.repartition("gram").sortWithinPartitions("gram", "n", "d1", "d2")
     pairs = staging.pin(
         sorted_.mapInArrow(_pairs(percent), "a1 bigint, a2 bigint, an bigint, b1 bigint, b2 bigint, bn bigint, full boolean"),
         "pairs",
     )
     needed = F.least(F.lit(SHARED), F.ceil((F.col("an") + F.col("bn")) * percent / F.lit(100.0 + percent)))
-    rows = profile.where("chunk IS NULL")
-    sets = staging.pin(
-        rows.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("n_rows")),
-        "sets",
-    )
     near = pairs.groupBy("a1", "a2", "an", "b1", "b2", "bn").agg(
         F.count(F.lit(1)).alias("n_shared"), F.bool_or("full").alias("full")
     ).where(F.col("full") | (F.col("n_shared") >= needed))
@@ -334,7 +331,59 @@ def ngram_links(docs: DataFrame, size: int = 4, percent: int = 85, staging: Stag
         .join(side("b"), (F.col("b1") == F.col("_b1")) & (F.col("b2") == F.col("_b2")))
         .select("a", "b")
     )
-    clusters = components(candidates, staging).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
+    return components(candidates, staging).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
+
+
+def _clusters(known: DataFrame, profile: DataFrame, sets: DataFrame, size: int, percent: int, staging: Staging) -> DataFrame:
+    """(doc_id, cluster) of documents that may link: no link leaves a cluster.
+
+    Large clusters are looked at again, each by itself, until that leaves as many documents in
+    large ones as before, or nearly. Documents that nothing is tied to any more are left out.
+    """
+    clusters = staging.pin(
+        _tied(known.withColumn("salt", F.lit(0).cast("bigint")), profile, sets, size, percent, staging), "clusters"
+    )
+    before = None
+    while True:
+        large = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n")).where(f"_n > {LARGE}").select(F.col("cluster").alias("_large"))
+        inside = staging.pin(
+            clusters.join(large, F.col("cluster") == F.col("_large")).select(F.col("doc_id").alias("_id"), F.xxhash64("cluster").alias("salt")),
+            "large",
+        )
+        n = inside.count()
+        if not n or (before and n > 0.9 * before):
+            return clusters
+        before = n
+        held = maybe_among(known, "doc_id", inside, "_id").join(inside.hint("merge"), F.col("doc_id") == F.col("_id"))
+        held = staging.pin(held.select("doc_id", "text", "salt"), "large-texts", "zstd")
+        own = staging.pin(_profile(held, size).where("chunk IS NOT NULL"), "large-profile")
+        finer = _tied(held, own, sets, size, percent, staging)
+        # A text of several documents can tie others than those inside.
+        finer = finer.join(inside.select("_id").hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi")
+        others = clusters.join(large, F.col("cluster") == F.col("_large"), "left_anti")
+        clusters = staging.pin(others.unionByName(finer), "clusters")
+
+
+def ngram_links(docs: DataFrame, size: int = 4, percent: int = 85, staging: Staging | None = None) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_shingles, component_id.
+
+    Words are what stands between ASCII white space, A-Z lower-cased. A document's set has
+    its distinct `size`-word shingles, or all its words as one if it has fewer; without
+    words it is empty and links with nothing. Two documents link when
+    100 * intersection >= percent * union; `component_id` is the smallest doc_id reachable
+    by links. Rows that repeat a doc_id are one document, whose links count together. A
+    null text is empty. Other columns are ignored, an empty table gives no rows.
+    """
+    spark = docs.sparkSession
+    staging = staging or Staging(spark)
+    known = texts(docs)
+    profile = staging.pin(_profile(known.withColumn("salt", F.lit(0).cast("bigint")), size), "profile")
+    rows = profile.where("chunk IS NULL")
+    sets = staging.pin(
+        rows.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("n_rows")),
+        "sets",
+    )
+    clusters = _clusters(known, profile, sets, size, percent, staging)
     by_rep = sets.groupBy(F.col("rep").alias("_rep")).agg(F.max("n").alias("n"))
     blocked = _blocks(clusters.join(by_rep, F.col("doc_id") == F.col("_rep")).select("doc_id", "cluster", "n"), percent, staging)
     per_doc = staging.pin(blocked.groupBy("doc_id").agg(F.collect_set("block").alias("blocks")), "blocks")

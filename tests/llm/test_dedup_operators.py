@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 
+from sluice.llm import ngram_join
 from sluice.llm.compact_windows import least_windows, passages, repeated_passages, unexplained
 from sluice.llm.components import components
 from sluice.llm.exact_dedup import exact_groups, first_copies
@@ -111,6 +112,28 @@ def test_ngram_links_equal_brute_force(spark, size, percent):
     assert [got[i] for i in range(len(texts))] == wanted
 
 
+def test_ngram_links_of_texts_that_common_lines_chain(spark, monkeypatch):
+    """Where rare and common n-grams look alike, lines of a few texts each tie them all up."""
+    monkeypatch.setattr(ngram_join, "COUNTERS", 1 << 10)
+    monkeypatch.setattr(ngram_join, "CHUNK", 1 << 8)
+    monkeypatch.setattr(ngram_join, "FULL", 4)
+    monkeypatch.setattr(ngram_join, "LARGE", 40, raising=False)
+    largest, blocks_of = [], ngram_join._blocks
+
+    def seen(clusters, *more):
+        largest.append(max(r["count"] for r in clusters.groupBy("cluster").count().collect()))
+        return blocks_of(clusters, *more)
+
+    monkeypatch.setattr(ngram_join, "_blocks", seen)
+    own = lambda seed, n: prose(seed, n, 10**9)
+    texts = [" ".join([own(k, 40), *(own(10_000 + (k + i) % 200, 5) for i in range(6))]) for k in range(200)]
+    texts += [own(20_000 + k, 70) for k in range(1800)]
+    texts += [edited(texts[k], k, 1) for k in range(0, 400, 10)]
+    got = {r.doc_id: r.component_id for r in ngram_links(documents(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == [label for _, label in brute_links(texts, 4, 85)]
+    assert sum(got[i] != i for i in got) >= 30 and largest[0] <= 40
+
+
 def test_ngram_links_of_awkward_rows(spark):
     docs = awkward(spark)
     rows = ngram_links(docs).collect()
