@@ -255,7 +255,7 @@ def _without_ingestion_time(df: DataFrame) -> DataFrame:
 
 
 def write_raw_csv(t: Tables, root: str, name: str) -> None:
-    """Write a derived table the way raw files arrive: CSV with a header."""
+    """Write a derived table the way raw files arrive: CSV with a header, compressed."""
     (
         t.raw(name)
         .drop(ROW_ORDER)
@@ -263,6 +263,8 @@ def write_raw_csv(t: Tables, root: str, name: str) -> None:
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", 1_000_000)  # such files cannot be split
         .csv(raw_path(root, name))
     )
 

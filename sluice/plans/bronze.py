@@ -17,6 +17,7 @@ from sluice.sources.store import file_sizes, read_table, write_parquet
 # kind should be landed as many files. Tables that are not named are read line by line.
 MULTI_LINE_TABLES = frozenset({"reviews", "products"})
 LARGEST_UNSPLIT = 1 << 30  # bytes that one task should read at most
+CODEC = "zstd"  # text with lineage is the largest layer, and is read once a build
 
 
 def row_order() -> F.Column:
@@ -68,5 +69,5 @@ def build_bronze(
 ) -> DataFrame:
     """Land the raw files below `root` in the store at `target`, which is `root` unless given."""
     target = target or root
-    write_parquet(ingest(spark, root, name, ingested_at, multi_line), table_path(target, BRONZE, name))
+    write_parquet(ingest(spark, root, name, ingested_at, multi_line), table_path(target, BRONZE, name), CODEC)
     return read_table(spark, target, BRONZE, name)

@@ -14,7 +14,7 @@ from sluice.plans.bronze import MULTI_LINE_TABLES, build_bronze
 from sluice.plans.gold import build_gold
 from sluice.plans.silver import build_silver
 from sluice.session import build_session
-from sluice.sources.staging import Staging, together
+from sluice.sources.staging import Staging, shuffles_dropped, together
 from sluice.sources.versions import Lease, finish, new_version
 from sluice.sources.warehouse import attach, write_checks
 
@@ -48,7 +48,7 @@ def run(
     now = now or datetime.now()
     staging_root = f"{root.rstrip('/')}/_staging"
     version = new_version(root)
-    with Lease(spark, version):
+    with Lease(spark, version), shuffles_dropped(spark):
         together(lambda name: build_bronze(spark, root, name, now, version, name in multi_line), TABLES)
         log.info("bronze done: %d tables", len(TABLES))
         with Staging(spark, staging_root) as staging:

@@ -104,8 +104,16 @@ def build_silver(
     Rows are stored twice: judged, and then by their fate. What the second write counts
     is the table's quality and decides on its contract; if that fails, the table's earlier
     files stay as they were. Silver's folder is moved in; rejected rows, which are few and
-    scattered over many tasks, are gathered into files of a sensible size.
+    scattered over many tasks, are gathered into files of a sensible size. The judged rows go
+    as soon as their fates are written.
     """
+    with Staging(spark, staging.path) as own:
+        return _build_silver(spark, root, name, own, executed_at)
+
+
+def _build_silver(
+    spark: SparkSession, root: str, name: str, staging: Staging, executed_at: datetime
+) -> DataFrame:
     spec = SPECS[name]
     bronze = read_table(spark, root, BRONZE, name)
     parents = {p: read_keys(spark, root, p, SPECS[p].key) for p in spec.parents}
@@ -119,6 +127,7 @@ def build_silver(
     targets = {layer: table_path(root, layer, name) for layer in (SILVER, QUARANTINE, QUALITY)}
     fates = pending(f"{targets[SILVER]}_fates")
     counts = _write_fates(classified, fates)
+    staging.drop()  # from here on, all rows are those of the fates
     silver = f"{fates}/{REJECT_REASON}={NO_REASON}"
     if not exists(spark, silver):  # no row survived
         spark.createDataFrame([], shape.schema).write.parquet(silver)

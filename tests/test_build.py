@@ -7,11 +7,12 @@ import pytest
 from checks.queries import Tables, write_raw_csv
 from sluice.config import GOLD_TABLES, QUALITY, QUARANTINE, ROW_ORDER, SILVER, TABLES, raw_path
 from sluice.operators.contracts import ContractError
+from sluice.plans import build
 from sluice.plans.bronze import build_bronze, ingest
 from sluice.plans.build import run
 from sluice.plans.silver import build_silver
 from sluice.sources.store import exists, list_names, load_gold, load_quality, read_table
-from sluice.sources.versions import current
+from sluice.sources.versions import current, finish
 from sluice.sources.warehouse import attach, unpublish
 from tests.test_silver import SILVER_ROWS
 
@@ -100,6 +101,39 @@ def test_whole_build_is_complete_and_repeatable(spark, tmp_path):
         unpublish(spark, "built_")
 
 
+def shuffle_files(spark):
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()
+    found = (f"{d}/{name}" for folder in folders for d, _, names in os.walk(folder.getPath()) for name in names)
+    return {path for path in found if os.path.basename(path).startswith("shuffle_")}
+
+
+def test_a_build_leaves_no_shuffles(spark, small_root, monkeypatch):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, value, left = shuffle_files(spark), spark.conf.get(setting, None), []
+
+    def finished(*about):
+        left.extend(shuffle_files(spark) - before)
+        return finish(*about)
+
+    monkeypatch.setattr(build, "finish", finished)
+    try:
+        run(spark, small_root, NOW, "tidy_")
+    finally:
+        unpublish(spark, "tidy_")
+    assert not left and spark.conf.get(setting, None) == value
+
+
+def test_a_silver_table_leaves_nothing_staged(spark, small_root, staging):
+    build_upto(spark, small_root, "orders", staging)
+    assert list_names(spark, staging.path) == []
+
+
+def test_raw_files_arrive_compressed(spark, tmp_path):
+    write_raw_csv(Tables(spark, SF), str(tmp_path), "customers")
+    names = [n for n in list_names(spark, raw_path(str(tmp_path), "customers")) if n.startswith("part-")]
+    assert names and all(n.endswith(".csv.gz") for n in names)
+
+
 def test_a_failing_build_leaves_the_version_before(spark, small_root):
     """Readers go on with all tables of one run when the next one stops on the way."""
     try:
