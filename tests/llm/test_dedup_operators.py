@@ -112,7 +112,8 @@ def test_ngram_links_equal_brute_force(spark, size, percent):
     assert [got[i] for i in range(len(texts))] == wanted
 
 
-def test_ngram_links_of_texts_that_common_lines_chain(spark, monkeypatch):
+@pytest.mark.parametrize(("size", "percent"), [(4, 85), (5, 80)])
+def test_ngram_links_of_texts_that_common_lines_chain(spark, monkeypatch, size, percent):
     """Where rare and common n-grams look alike, lines of a few texts each tie them all up."""
     monkeypatch.setattr(ngram_join, "COUNTERS", 1 << 10)
     monkeypatch.setattr(ngram_join, "CHUNK", 1 << 8)
@@ -129,8 +130,8 @@ def test_ngram_links_of_texts_that_common_lines_chain(spark, monkeypatch):
     texts = [" ".join([own(k, 40), *(own(10_000 + (k + i) % 200, 5) for i in range(6))]) for k in range(200)]
     texts += [own(20_000 + k, 70) for k in range(1800)]
     texts += [edited(texts[k], k, 1) for k in range(0, 400, 10)]
-    got = {r.doc_id: r.component_id for r in ngram_links(documents(spark, texts)).collect()}
-    assert [got[i] for i in range(len(texts))] == [label for _, label in brute_links(texts, 4, 85)]
+    got = {r.doc_id: r.component_id for r in ngram_links(documents(spark, texts), size, percent).collect()}
+    assert [got[i] for i in range(len(texts))] == [label for _, label in brute_links(texts, size, percent)]
     assert sum(got[i] != i for i in got) >= 30 and largest[0] <= 40
 
 
